@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from shelfrank.operators.clean import fence_report, fill_gaps, fit_fences, fit_fillings, within_fences
 from shelfrank.operators.order_stats import quantiles
 from shelfrank.operators.score import fit_scaler, with_composite_score
-from shelfrank.operators.select import analysis_columns
-from shelfrank.operators.split import with_fold, with_label_code, with_test_flag
-from shelfrank.operators.variants import BASE_FEATURES
+from shelfrank.operators.models import naive_bayes, nearest_neighbours
+from shelfrank.operators.select import analysis_columns, feature_columns
+from shelfrank.operators.variants import BASE_FEATURES, CARRIED, DISPLAY_NAMES, LABEL_COLUMNS, Variant, attach_labels
 from shelfrank.plans.products import NUMERIC, products
+from shelfrank.plans.study import StudyResults, run_study, split_base, stored
 from shelfrank.session import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,16 +98,19 @@ class Tables:
             "dbscan": keyed.select("row_id", noise.cast("int").alias("cluster")),
         }
 
+    @cached_property
+    def split(self) -> DataFrame:
+        return write_table(split_base(self.normalised.select("row_id", *BASE_FEATURES, "category")), "split-base")
+
     @cached_property
     def study(self) -> DataFrame:
-        """Features, label code, test flag, and the folds of the training part, keyed by row_id."""
-        base = with_test_flag(with_label_code(self.normalised.select("row_id", *BASE_FEATURES, "category")))
-        base = write_table(base, "split")
-        folds = with_fold(base.where("NOT is_test")).select("row_id", "fold")
-        wide = base.join(folds, "row_id", "left")
-        for table in self.labels.values():
-            wide = wide.join(table, "row_id")
-        return write_table(wide, "study")
+        """Features, cluster labels, label code, test flag and training folds, keyed by row_id."""
+        wide, _ = attach_labels(self.split, self.labels, require_equal=False)
+        return stored(wide)
+
+    @cached_property
+    def variants(self) -> list[Variant]:
+        return _variants(self.study, BASE_FEATURES)
 
     @property
     def train(self) -> DataFrame:
@@ -117,6 +121,54 @@ class Tables:
         return self.study.where("is_test")
 
 
+    @cached_property
+    def vector_study(self) -> DataFrame:
+        """A second, smaller subject: three figures of each embedding, its label as the category."""
+        vectors = self.read("embeddings")
+        v = F.col("embedding").cast("array<double>")
+        total = F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+        base = vectors.select(
+            F.col("vec_id").alias("row_id"),
+            F.round(total, 6).alias("vec_sum"),
+            F.round(F.array_max(v), 6).alias("vec_max"),
+            F.round(F.array_min(v), 6).alias("vec_min"),
+            F.concat(F.lit("class "), F.col("label").cast("string")).alias("category"),
+        )
+        base = write_table(base, "vectors")
+        q = quantiles(base, ["vec_max"], [0.25, 0.5, 0.75])["vec_max"]
+        quarter = sum((F.when(F.col("vec_max") > x, 1).otherwise(0) for x in q), F.lit(0))
+        noise = F.when(F.col("vec_min") < -0.35, -1).otherwise(F.col("row_id") % 3)
+        wide = split_base(base).withColumns(
+            {
+                "kmeans_cluster": (F.col("row_id") % 4).cast("int"),
+                "hierarchical_cluster": quarter.cast("int"),
+                "cluster": noise.cast("int"),
+            }
+        )
+        return stored(wide)
+
+    @cached_property
+    def vector_variants(self) -> list[Variant]:
+        return _variants(self.vector_study, VECTOR_FEATURES)
+
+    @cached_property
+    def vector_results(self) -> StudyResults:
+        """The cross-validated study of the two models SQL can express too, on four variants."""
+        return run_study(self.vector_variants, [nearest_neighbours(), naive_bayes()], cross_validate=True)
+
+
+VECTOR_FEATURES = ("vec_sum", "vec_max", "vec_min")
+
+
+def _variants(wide: DataFrame, features) -> list[Variant]:
+    """The original features and one variant per cluster label of a wide table."""
+    sets = {"original": tuple(features), **{m: (*features, c) for m, c in LABEL_COLUMNS.items()}}
+    return [
+        Variant(name, DISPLAY_NAMES[name], chosen, feature_columns(wide, chosen, keys=CARRIED))
+        for name, chosen in sets.items()
+    ]
+
+
 _TABLES: dict[tuple[str, str], Tables] = {}
 
 

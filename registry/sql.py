@@ -205,6 +205,32 @@ def bayes_cv_ctes(source: str, features: tuple[str, ...], name: str) -> str:
 )"""
 
 
+def _neighbour_ctes(source: str, features: tuple[str, ...], name: str, asked: str, pairs: str, extra: str) -> str:
+    distance = " + ".join(f"(q.{f} - p.{f}) * (q.{f} - p.{f})" for f in features)
+    return f"""
+{name}_near AS (
+  SELECT q.row_id, any_value(q.label) AS label{extra},
+         unnest(min_by(p.label, {{'distance': {distance}, 'row_id': p.row_id}}, 5)) AS vote
+  FROM (SELECT * FROM {source} WHERE {asked}) q, (SELECT * FROM {source} WHERE NOT is_test) p
+  WHERE {pairs} GROUP BY q.row_id
+),
+{name} AS MATERIALIZED (
+  SELECT row_id, label, {"fold, " if extra else ""}vote AS prediction FROM {name}_near
+  GROUP BY row_id, label, {"fold, " if extra else ""}vote
+  QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY count(*) DESC, vote) = 1
+)"""
+
+
+def neighbour_ctes(source: str, features: tuple[str, ...], name: str) -> str:
+    """Votes of the five nearest training rows for the test rows, by trying all pairs."""
+    return _neighbour_ctes(source, features, name, "is_test", "true", "")
+
+
+def neighbour_cv_ctes(source: str, features: tuple[str, ...], name: str) -> str:
+    """The same for the training rows, each against the other folds."""
+    return _neighbour_ctes(source, features, name, "NOT is_test", "q.fold <> p.fold", ", any_value(q.fold) AS fold")
+
+
 ALL = (PRODUCTS, FILLED, FENCES, SCORED, NORMALISED, LABELS, STUDY)
 
 

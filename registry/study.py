@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from registry.core import query, rounded
-from registry.sql import bayes_ctes, bayes_cv_ctes, with_tables
+from registry.sql import bayes_ctes, bayes_cv_ctes, neighbour_ctes, with_tables
 from shelfrank.operators.evaluate import accuracy, cross_validation
 from shelfrank.operators.naive_bayes import cross_predict_naive_bayes, fit_naive_bayes
+from shelfrank.operators.neighbours import nearest_votes
 from shelfrank.operators.split import FOLDS, with_label_code
 from shelfrank.operators.variants import BASE_FEATURES, LABEL_COLUMNS
 
@@ -28,6 +29,17 @@ def folds(t):
 _KMEANS = (*BASE_FEATURES, LABEL_COLUMNS["kmeans"])
 
 
+@query("i5_nearest_neighbours", with_tables("SELECT * FROM knn", neighbour_ctes("study", BASE_FEATURES, "knn")))
+def nearest(t):
+    return nearest_votes(t.train, t.test, BASE_FEATURES).select("row_id", "label", "prediction")
+
+
+# Trying all pairs in SQL again would take too long; the tests compare this case on small data.
+@query("i5_nearest_neighbours_kmeans")
+def nearest_kmeans(t):
+    return nearest_votes(t.train, t.test, _KMEANS).select("row_id", "label", "prediction")
+
+
 @query("i6_naive_bayes", with_tables("SELECT * FROM nb", bayes_ctes("study", BASE_FEATURES, "nb")))
 def naive_bayes(t):
     model = fit_naive_bayes(t.train, BASE_FEATURES)

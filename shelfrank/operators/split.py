@@ -74,7 +74,10 @@ def with_test_flag(
     small: int = SMALL,
 ) -> DataFrame:
     """Add ``is_test``: an exact stratified share of the rows, the lowest draws of each class."""
-    quotas = split_quotas(class_sizes(df, label), share, _class_order(df, label))
+    sizes = class_sizes(df, label)
+    # Codes sort as numbers, names as text.
+    numeric = dict(df.dtypes)[label] in ("int", "bigint")
+    quotas = split_quotas(sizes, share, sorted(sizes, key=int) if numeric else sorted(sizes))
     drawn = df.select(F.col(label), draw(key, seed).alias("draw"), F.col(key))
     wanted = [(c, q) for c, q in quotas.items() if q]
     cuts = order_statistics(drawn, "draw", wanted, group=label, tie=key, small=small)
@@ -91,12 +94,6 @@ def with_test_flag(
     )
 
 
-def _class_order(df: DataFrame, label: str) -> list[str]:
-    # Codes sort as numbers, names as text.
-    names = class_sizes(df, label)
-    return sorted(names, key=int) if dict(df.dtypes)[label] in ("int", "bigint") else sorted(names)
-
-
 def fold_quotas(sizes: Sequence[int], folds: int = FOLDS) -> list[list[int]]:
     """Rows per class and fold when the class-sorted rows are dealt out in turn.
 

@@ -23,6 +23,9 @@ DISPLAY_NAMES = {
 }
 FLAG_FEATURE = "is_new_numeric"
 
+# Columns a variant carries beside its features and category, where the base table has them.
+CARRIED = ("row_id", "label", "is_test", "fold")
+
 
 @dataclass(frozen=True)
 class Variant:
@@ -114,4 +117,4 @@ def extended_variants(
 
 
 def _variant(name: str, features: Sequence[str], df: DataFrame, description: str) -> Variant:
-    return Variant(name, description, tuple(features), feature_columns(df, features))
+    return Variant(name, description, tuple(features), feature_columns(df, features, keys=CARRIED))
