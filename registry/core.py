@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from shelfrank.operators.clean import fence_report, fill_gaps, fit_fences, fit_fillings, within_fences
 from shelfrank.operators.order_stats import quantiles
 from shelfrank.operators.score import fit_scaler, with_composite_score
-from shelfrank.operators.models import naive_bayes, nearest_neighbours
+from shelfrank.operators.models import naive_bayes, nearest_neighbours, random_forest
 from shelfrank.operators.select import analysis_columns, feature_columns
 from shelfrank.operators.variants import BASE_FEATURES, CARRIED, DISPLAY_NAMES, LABEL_COLUMNS, Variant, attach_labels
 from shelfrank.plans.products import NUMERIC, products
-from shelfrank.plans.study import StudyResults, run_study, split_base, stored
+from shelfrank.plans.study import StudyResults, run_study, split_base, stored, study_importances, train_rows
 from shelfrank.session import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +121,20 @@ class Tables:
         return self.study.where("is_test")
 
 
+    @cached_property
+    def comparison(self) -> StudyResults:
+        """The three-model comparison on all variants."""
+        forest = random_forest(trees=4, depth=10)
+        return run_study(self.variants, [forest, nearest_neighbours("K-Nearest Neighbors"), naive_bayes()])
+
+    @cached_property
+    def train_importances(self) -> DataFrame:
+        return study_importances(self.variants, trees=4, rows=train_rows, depth=10)
+
+    @cached_property
+    def overall_importances(self) -> DataFrame:
+        return study_importances(self.variants, trees=8, depth=10)
+
     @cached_property
     def vector_study(self) -> DataFrame:
         """A second, smaller subject: three figures of each embedding, its label as the category."""
