@@ -9,17 +9,29 @@ histograms, which Spark aggregates map-side, until what is left is small.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL = 1_000_000
+from shelfrank.session import small_table
+
+# Rows of one interval that may be sorted in one task.
+SMALL = 50_000
 BINS = 4096
 
 
+@dataclass(frozen=True)
+class Extent:
+    """Number of values of a group, and limits they lie within."""
+
+    count: int
+    low: float | int
+    high: float | int
+
+
 @dataclass(frozen=True)
 class Target:
     """The ``rank``-th smallest value (from 1) of ``group``, known to lie in [low, high]."""
@@ -41,31 +53,33 @@ def order_statistics(
     tie: str | None = None,
     small: int = SMALL,
     bins: int = BINS,
+    extents: Mapping[str, Extent] | None = None,
 ) -> dict[tuple[str, int], tuple[float | int, int | None]]:
     """Map each (group, rank) to its (value, tie) in the order by value, then tie.
 
     ``df`` is read once per narrowing step; a step divides the interval by
-    ``bins``.  Only one row per wanted rank reaches the driver.
+    ``bins``.  Only one row per wanted rank reaches the driver.  Known
+    ``extents`` save the first pass.
     """
     key = F.col(group).cast("string") if group else F.lit("")
     columns = [key.alias("grp"), F.col(value).alias("val")]
     columns += [F.col(tie).cast("long").alias("tie")] if tie else []
     rows = df.select(*columns).where(F.col("val").isNotNull())
 
-    wanted = sorted({g for g, _ in ranks})
-    extents = {
-        r["grp"]: r
-        for r in rows.where(F.col("grp").isin(wanted))
-        .groupBy("grp")
-        .agg(F.count("*").alias("n"), F.min("val").alias("low"), F.max("val").alias("high"))
-        .collect()
-    }
+    if extents is None:
+        extents = {
+            r["grp"]: Extent(r["n"], r["low"], r["high"])
+            for r in rows.where(F.col("grp").isin(sorted({g for g, _ in ranks})))
+            .groupBy("grp")
+            .agg(F.count("*").alias("n"), F.min("val").alias("low"), F.max("val").alias("high"))
+            .collect()
+        }
     open_targets = []
     for g, rank in dict.fromkeys(ranks):
-        if g not in extents or not 1 <= rank <= extents[g]["n"]:
+        if g not in extents or not 1 <= rank <= extents[g].count:
             raise ValueError(f"group {g!r} has no rank {rank}")
         e = extents[g]
-        open_targets.append(Target(g, rank, 0, e["low"], e["high"], e["n"]))
+        open_targets.append(Target(g, rank, 0, e.low, e.high, e.count))
 
     done: list[Target] = []
     value_type = rows.schema["val"].dataType
@@ -96,14 +110,15 @@ def _target_frame(rows: DataFrame, targets: Sequence[Target], value_type: T.Data
         ]
     )
     data = [(t.group, t.low, t.high, t.rank, t.rank - t.below) for t in targets]
-    return rows.sparkSession.createDataFrame(data, schema)
+    return small_table(rows.sparkSession, data, schema)
 
 
-def _inside(rows: DataFrame, frame: DataFrame) -> DataFrame:
+def _inside(rows: DataFrame, targets: Sequence[Target], value_type: T.DataType) -> DataFrame:
     """Rows within any wanted interval; the intervals of a group are disjoint."""
-    intervals = F.broadcast(frame.select("t_grp", "t_low", "t_high").distinct())
+    one_each = {(t.group, t.low): t for t in targets}
+    intervals = _target_frame(rows, list(one_each.values()), value_type).select("t_grp", "t_low", "t_high")
     return rows.join(
-        intervals,
+        F.broadcast(intervals),
         (F.col("grp") == F.col("t_grp")) & F.col("val").between(F.col("t_low"), F.col("t_high")),
     )
 
@@ -114,7 +129,7 @@ def _narrow(rows, targets, value_type, bins) -> list[Target]:
     place = (F.col("val") - F.col("t_low")).cast("double") / span
     bucket = F.least(F.floor(place * bins), F.lit(bins - 1)).cast("int")
     histogram = (
-        _inside(rows, frame)
+        _inside(rows, targets, value_type)
         .groupBy("t_grp", "t_low", bucket.alias("bucket"))
         .agg(F.count("*").alias("n"), F.min("val").alias("low"), F.max("val").alias("high"))
     )
@@ -142,7 +157,7 @@ def _pick(rows, targets, value_type, with_tie) -> list[Target]:
     order = ["val", "tie"] if with_tie else ["val"]
     position = F.row_number().over(Window.partitionBy("t_grp", "t_low").orderBy(*order))
     hit = (
-        _inside(rows, frame)
+        _inside(rows, targets, value_type)
         .withColumn("position", position.cast("long"))
         .join(F.broadcast(frame.drop("t_high")), ["t_grp", "t_low"])
         .where("position = t_position")
@@ -193,7 +208,7 @@ def spread(
     """Count, extremes and exact quantiles per column.
 
     The buffer of ``percentile`` grows with the distinct values, so these are
-    estimated first; half the bound leaves room for the estimate's error.
+    estimated first.
     """
     facts = df.agg(
         *[
@@ -208,27 +223,32 @@ def spread(
         ]
     ).first()
     found: dict[str, list[float | None]] = {}
-    compact = [c for c in columns if facts[f"{c}|distinct"] <= small // 2]
+    compact = [c for c in columns if facts[f"{c}|distinct"] <= 2 * small]
     if compact:
         p = F.array(*[F.lit(float(q)) for q in probabilities])
         row = df.agg(*[F.percentile(c, p).alias(c) for c in compact]).first()
         found = {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in compact}
-    for c in columns:
-        if c not in found:
-            n = facts[f"{c}|n"]
-            found[c] = _interpolate(df, c, n, probabilities, small)
+    wide = [c for c in columns if c not in found]
+    if wide:
+        extents = {c: Extent(facts[f"{c}|n"], float(facts[f"{c}|low"]), float(facts[f"{c}|high"])) for c in wide}
+        found |= _interpolate(df, extents, probabilities, small)
     return {
         c: Spread(facts[f"{c}|n"], facts[f"{c}|low"], facts[f"{c}|high"], found[c]) for c in columns
     }
 
 
-def _interpolate(df, column, n, probabilities, small) -> list[float]:
-    positions = [(n - 1) * q for q in probabilities]
-    ranks = [("", r + 1) for p in positions for r in (math.floor(p), math.ceil(p))]
-    values = {r: float(v) for (_, r), (v, _) in order_statistics(df, column, ranks, small=small).items()}
-    result = []
-    for p in positions:
-        lower, upper = values[math.floor(p) + 1], values[math.ceil(p) + 1]
-        share = p - math.floor(p)
-        result.append((1 - share) * lower + share * upper)
+def _interpolate(df, extents, probabilities, small) -> dict[str, list[float]]:
+    """Quantiles of several columns at once: each is a group of one long table."""
+    cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("cell")) for c in extents]
+    long = df.select(F.inline(F.array(*cells)))
+    places = {c: [(e.count - 1) * q for q in probabilities] for c, e in extents.items()}
+    ranks = [(c, r + 1) for c, at in places.items() for p in at for r in (math.floor(p), math.ceil(p))]
+    values = order_statistics(long, "cell", ranks, group="name", small=small, extents=extents)
+    result = {}
+    for c, at in places.items():
+        result[c] = []
+        for p in at:
+            lower, upper = values[c, math.floor(p) + 1][0], values[c, math.ceil(p) + 1][0]
+            share = p - math.floor(p)
+            result[c].append((1 - share) * lower + share * upper)
     return result

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfrank.operators.order_stats import spread
+from shelfrank.session import small_table
 
 HISTOGRAM_BINS = 30
 
@@ -21,7 +22,7 @@ def shape(df: DataFrame) -> DataFrame:
 def column_types(df: DataFrame) -> DataFrame:
     """Column names and types in order; read from the schema, not from data."""
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+    return small_table(df.sparkSession, rows, "position int, column_name string, data_type string")
 
 
 def _long_form(df: DataFrame, metrics: dict[str, dict[str, F.Column]]) -> DataFrame:
@@ -120,7 +121,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS)
         )
     spark = df.sparkSession
     schema = "column_name string, low double, high double"
-    edges = spark.createDataFrame(frames, schema).select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    edges = small_table(spark, frames, schema).select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     if not frames:
         return edges.select("column_name", "bin", F.col("low").alias("bin_low"), F.col("high").alias("bin_high"), F.lit(0).cast("long").alias("row_count"))
     counts = (
@@ -148,7 +149,7 @@ def quartile_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """First and third quartile per column, linear interpolation."""
     found = spread(df, columns, [0.25, 0.75])
     rows = [(c, *map(_maybe_float, found[c].quantiles)) for c in columns]
-    return df.sparkSession.createDataFrame(rows, "column_name string, q1 double, q3 double")
+    return small_table(df.sparkSession, rows, "column_name string, q1 double, q3 double")
 
 
 def _maybe_float(value):

@@ -13,9 +13,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfrank.operators.order_stats import SMALL, order_statistics
+from shelfrank.operators.order_stats import SMALL, Extent, order_statistics
+from shelfrank.session import small_table
 
 SEED = 42
+DRAWS = 1 << 60
 TEST_SHARE = 0.2
 FOLDS = 5
 # Class tables up to this many rows are broadcast.
@@ -33,7 +35,7 @@ def with_label_code(df: DataFrame, label: str = "category") -> DataFrame:
     classes = [r[label] for r in label_codes(df, label).orderBy("label").limit(CLASS_LIMIT + 1).collect()]
     if len(classes) > CLASS_LIMIT:
         raise ValueError(f"{label} has over {CLASS_LIMIT} values; it is no class label")
-    codes = df.sparkSession.createDataFrame(list(enumerate(classes)), f"label int, `{label}` string")
+    codes = small_table(df.sparkSession, list(enumerate(classes)), f"label int, `{label}` string")
     return df.join(F.broadcast(codes), label, "left")
 
 
@@ -80,9 +82,10 @@ def with_test_flag(
     quotas = split_quotas(sizes, share, sorted(sizes, key=int) if numeric else sorted(sizes))
     drawn = df.select(F.col(label), draw(key, seed).alias("draw"), F.col(key))
     wanted = [(c, q) for c, q in quotas.items() if q]
-    cuts = order_statistics(drawn, "draw", wanted, group=label, tie=key, small=small)
+    extents = {c: Extent(n, 0, DRAWS - 1) for c, n in sizes.items()}
+    cuts = order_statistics(drawn, "draw", wanted, group=label, tie=key, small=small, extents=extents)
     rows = [(c, *cuts[c, q]) for c, q in wanted]
-    limits = df.sparkSession.createDataFrame(rows, "cut_class string, cut_draw long, cut_key long")
+    limits = small_table(df.sparkSession, rows, "cut_class string, cut_draw long, cut_key long")
     drawn_all = df.withColumn("_draw", draw(key, seed))
     below = (F.col("_draw") < F.col("cut_draw")) | (
         (F.col("_draw") == F.col("cut_draw")) & (F.col(key) <= F.col("cut_key"))
@@ -108,7 +111,9 @@ def fold_quotas(sizes: Sequence[int], folds: int = FOLDS) -> list[list[int]]:
 
 def with_fold(df: DataFrame, label: str = "label", key: str = "row_id", folds: int = FOLDS, small: int = SMALL) -> DataFrame:
     """Add ``fold``: stratified, unshuffled, each class in blocks by row order."""
-    stats = df.groupBy(F.col(label).cast("string").alias("k")).agg(F.count("*").alias("n"), F.min(key).alias("first"))
+    stats = df.groupBy(F.col(label).cast("string").alias("k")).agg(
+        F.count("*").alias("n"), F.min(key).alias("first"), F.max(key).alias("last")
+    )
     classes = sorted(stats.limit(CLASS_LIMIT).collect(), key=lambda r: r["first"])
     if max(r["n"] for r in classes) < folds:
         raise ValueError(f"no class has {folds} rows")
@@ -117,10 +122,11 @@ def with_fold(df: DataFrame, label: str = "label", key: str = "row_id", folds: i
         ends = [sum(quota[: i + 1]) for i in range(folds - 1)]
         cut_ranks[r["k"]] = ends
         wanted += [(r["k"], e) for e in ends if e]
-    last = order_statistics(df, key, wanted, group=label, small=small)
+    extents = {r["k"]: Extent(r["n"], r["first"], r["last"]) for r in classes}
+    last = order_statistics(df, key, wanted, group=label, small=small, extents=extents)
     # The last row of each fold but the final one; a fold without rows ends before the first row.
     rows = [(k, [last[k, e][0] if e else -1 for e in ends]) for k, ends in cut_ranks.items()]
-    limits = df.sparkSession.createDataFrame(rows, "cut_class string, cut_ends array<long>")
+    limits = small_table(df.sparkSession, rows, "cut_class string, cut_ends array<long>")
     passed = F.size(F.filter("cut_ends", lambda end: end < F.col(key)))
     return (
         df.join(F.broadcast(limits), F.col(label).cast("string") == F.col("cut_class"))

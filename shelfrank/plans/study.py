@@ -14,7 +14,7 @@ from shelfrank.operators.evaluate import accuracy, cross_validation
 from shelfrank.operators.models import Classifier, fit_forest, forest_importances
 from shelfrank.operators.split import with_fold, with_label_code, with_test_flag
 from shelfrank.operators.variants import Variant
-from shelfrank.session import scratch_path, write_table
+from shelfrank.session import scratch_path, small_table, write_table
 
 log = logging.getLogger(__name__)
 
@@ -84,7 +84,7 @@ def run_study(
         (i, v.name, v.description, m.name, len(v.features), list(v.features)) for i, (v, m) in enumerate(succeeded)
     ]
     schema = "seq int, dataset string, dataset_name string, model_name string, n_features int, features array<string>"
-    results = spark.createDataFrame(rows, schema)
+    results = small_table(spark, rows, schema)
     predictions = spark.read.parquet(f"{root}/test")
     cross_predictions = spark.read.parquet(f"{root}/folds") if cross_validate else None
     figures = results.join(accuracy(predictions, RUN), list(RUN))
@@ -120,7 +120,7 @@ def study_importances(
     for v in variants:
         model = fit_forest(rows(v.df), v.features, trees=trees, **options)
         found += forest_importances(model, v.features, v.name)
-    return spark.createDataFrame(found, IMPORTANCE_SCHEMA)
+    return small_table(spark, found, IMPORTANCE_SCHEMA)
 
 
 def train_rows(df: DataFrame) -> DataFrame:

@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cpus: int | str = "*", app: str = "shelfrank", **conf: str) -> SparkSession:
@@ -60,3 +64,15 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A table of a few rows known to the driver.
+
+    Given as Arrow it becomes part of the plan, so that joins with it need no job of their own.
+    """
+    kinds = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
+    arrow = to_arrow_schema(kinds)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), kinds)
