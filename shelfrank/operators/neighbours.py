@@ -21,7 +21,8 @@ from shelfrank.session import write_table
 
 NEIGHBOURS = 5
 TILE_SIZE = 48
-TILED_FEATURES = 4
+# Features beyond these many enter the distances only.
+TILED_FEATURES = 6
 # Slack for rounding in radii; it can only add tiles to look into.
 SLACK = 1 + 1e-9
 

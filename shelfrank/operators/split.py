@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.operators.order_stats import SMALL, Extent, order_statistics
@@ -26,17 +26,18 @@ CLASS_LIMIT = 100_000
 
 def label_codes(df: DataFrame, label: str = "category") -> DataFrame:
     """Each distinct label and its place 0..k-1 in sorted order."""
-    codes = F.row_number().over(Window.orderBy(label)) - 1
-    return df.where(F.col(label).isNotNull()).select(label).distinct().withColumn("label", codes)
+    found = df.where(F.col(label).isNotNull()).select(label).distinct().limit(CLASS_LIMIT + 1).collect()
+    if len(found) > CLASS_LIMIT:
+        raise ValueError(f"{label} has over {CLASS_LIMIT} values; it is no class label")
+    classes = sorted(r[label] for r in found)
+    kind = df.schema[label].dataType.simpleString()
+    return small_table(df.sparkSession, [(c, i) for i, c in enumerate(classes)], f"`{label}` {kind}, label int")
 
 
 def with_label_code(df: DataFrame, label: str = "category") -> DataFrame:
     """Add the label's code as ``label``."""
-    classes = [r[label] for r in label_codes(df, label).orderBy("label").limit(CLASS_LIMIT + 1).collect()]
-    if len(classes) > CLASS_LIMIT:
-        raise ValueError(f"{label} has over {CLASS_LIMIT} values; it is no class label")
-    codes = small_table(df.sparkSession, list(enumerate(classes)), f"label int, `{label}` string")
-    return df.join(F.broadcast(codes), label, "left")
+    # At most CLASS_LIMIT rows.
+    return df.join(F.broadcast(label_codes(df, label)), label, "left")
 
 
 def class_sizes(df: DataFrame, label: str) -> dict[str, int]:

@@ -61,11 +61,13 @@ def run_study(
     spark = variants[0].df.sparkSession
     root = scratch_path(spark, "predictions")
     runs = [(v, m) for v in variants for m in models]
+    gappy = {v.name for v in variants if _has_gaps(v)}
 
     def run(pair: tuple[Variant, Classifier]) -> bool:
         variant, model = pair
         try:
-            _require_complete(variant)
+            if variant.name in gappy:
+                raise ValueError("a feature has missing values")
             train = variant.df.where("NOT is_test")
             _keep(model.predict(train, variant.df.where("is_test"), variant.features), pair, f"{root}/test")
             if cross_validate:
@@ -94,12 +96,11 @@ def run_study(
     return StudyResults(write_table(figures, "results"), predictions, cross_predictions)
 
 
-def _require_complete(variant: Variant) -> None:
+def _has_gaps(variant: Variant) -> bool:
     gap = F.lit(False)
     for f in variant.features:
         gap = gap | F.col(f).isNull()
-    if not variant.df.where(gap).isEmpty():
-        raise ValueError("a feature has missing values")
+    return not variant.df.where(gap).isEmpty()
 
 
 def _keep(predicted: DataFrame, pair: tuple[Variant, Classifier], path: str) -> None:

@@ -6,13 +6,13 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from typing import TypeVar
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfrank.functions import nan_to_null
+from shelfrank.sources.stack import union_all_by_name
 
 log = logging.getLogger(__name__)
 
@@ -75,9 +75,13 @@ def scan_present(
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop_path)
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_tables(sources: Mapping[str, Callable[[], _T]]) -> dict[str, _T]:
@@ -86,7 +90,7 @@ def read_tables(sources: Mapping[str, Callable[[], _T]]) -> dict[str, _T]:
     for name, open_source in sources.items():
         try:
             opened[name] = open_source()
-        except (AnalysisException, FileNotFoundError, Py4JJavaError) as error:
+        except (AnalysisException, FileNotFoundError) as error:
             log.warning("source %s skipped: %s", name, error)
     return opened
 
@@ -145,6 +149,3 @@ def write_csv(df: DataFrame, path: str, leading: Sequence[str] = ()) -> None:
     """Write headed CSV part files; ``leading`` columns (group keys) come first."""
     rest = [c for c in df.columns if c not in leading]
     df.select(*leading, *rest).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-
-
-from shelfrank.sources.stack import union_all_by_name  # noqa: E402
