@@ -14,6 +14,9 @@ import time
 
 from registry import QUERIES
 from registry.core import Tables, tables
+from shelfrank.operators.clean import fit_fences, fit_fillings
+from shelfrank.plans.catalogue import build_catalogue
+from shelfrank.plans.products import NUMERIC
 from shelfrank.session import local_session
 
 RUNS = 3
@@ -50,8 +53,6 @@ def timed(work) -> float:
 def catalogue_job(spark, folder) -> None:
     """From the raw tables to the top products and the category ranking, nothing prepared."""
     t = Tables(spark, folder)
-    from shelfrank.plans.catalogue import build_catalogue
-
     catalogue = build_catalogue(t.products)
     consume(catalogue.top())
     consume(catalogue.ranking())
@@ -67,6 +68,9 @@ def main() -> None:
     seconds["catalogue_from_raw"] = timed(lambda: catalogue_job(spark, folder))
     t = tables(spark, folder)
     seconds["products_table"] = timed(lambda: t.products)
+    # The queries below reuse these fitted numbers, so the fits are timed apart.
+    seconds["fillings_fit"] = statistics.median(timed(lambda: fit_fillings(t.products, NUMERIC)) for _ in range(RUNS))
+    seconds["fences_fit"] = statistics.median(timed(lambda: fit_fences(t.filled, NUMERIC)) for _ in range(RUNS))
     seconds["study_table"] = timed(lambda: t.study)
     for name in HEADLINE:
         times = [timed(lambda name=name: consume(QUERIES[name](spark, folder))) for _ in range(RUNS + 1)][1:]

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from shelfrank.operators.select import feature_columns, with_flag_number
+from shelfrank.session import write_table
 
 log = logging.getLogger(__name__)
 
@@ -59,9 +60,9 @@ def attach_labels(
 ) -> tuple[DataFrame, list[str]]:
     """Attach all label tables to one wide table and say which were attached.
 
-    All joins are on ``key``, so the base is shuffled once and every variant is
-    a projection of the result.  If equal lengths are required, a table of
-    another length or without its column is logged and left out.
+    All joins are on ``key``, so the base is shuffled once for all of them.  If
+    equal lengths are required, a table of another length or without its column
+    is logged and left out.
     """
     wide, attached = base, []
     expected = base.count() if require_equal else None
@@ -85,12 +86,14 @@ def comparison_variants(
 ) -> list[Variant]:
     """Original features and one variant per label table of the base table's length.
 
-    At least one label table must fit.
+    At least one label table must fit.  The wide table is written once; each
+    variant reads only its own columns of it.
     """
     wide, attached = attach_labels(base, labels, require_equal=True)
     if not attached:
         raise LabelError("need the original and at least one cluster variant")
-    return [_variant("original", features, base, DISPLAY_NAMES["original"])] + [
+    wide = write_table(wide, "wide")
+    return [_variant("original", features, wide, DISPLAY_NAMES["original"])] + [
         _variant(m, (*features, LABEL_COLUMNS[m]), wide, DISPLAY_NAMES[m]) for m in attached
     ]
 
@@ -105,7 +108,8 @@ def extended_variants(
         base = with_flag_number(base, name=FLAG_FEATURE)
         features = (*features, FLAG_FEATURE)
     wide, attached = attach_labels(base, labels, require_equal=False)
-    return [_variant("original", features, base, "Original features only")] + [
+    wide = write_table(wide, "wide")
+    return [_variant("original", features, wide, "Original features only")] + [
         _variant(
             f"with_{m}",
             (*features, LABEL_COLUMNS[m]),
