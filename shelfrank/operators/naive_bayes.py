@@ -1,4 +1,7 @@
-"""Gaussian naive Bayes: one aggregate to fit, one column expression to predict."""
+"""Gaussian naive Bayes: one aggregate to fit, one column expression to predict.
+
+The expression has a term per class and feature: meant for up to some hundred classes.
+"""
 
 from __future__ import annotations
 

@@ -60,7 +60,9 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
 def _as_number(field: T.StructField) -> F.Column:
     column = F.col(field.name)
     if isinstance(field.dataType, T.TimestampNTZType):
-        column = column.cast("timestamp")
+        # Seconds by the clock; a cast to a timestamp would depend on the session's time zone.
+        elapsed = column - F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+        column = elapsed.cast("interval second").cast("decimal(18,6)")
     if isinstance(field.dataType, T.BooleanType):
         column = column.cast("int")
     return column.cast("double")

@@ -43,11 +43,17 @@ def with_label_code(df: DataFrame, label: str = "category") -> DataFrame:
 def class_sizes(df: DataFrame, label: str) -> dict[str, int]:
     counted = df.groupBy(F.col(label).cast("string").alias("k")).agg(F.count("*").alias("n"))
     rows = counted.limit(CLASS_LIMIT + 1).collect()
-    if len(rows) > CLASS_LIMIT:
-        raise ValueError(f"{label} has over {CLASS_LIMIT} values; it is no class label")
+    _check_classes([r["k"] for r in rows], label)
     return {r["k"]: r["n"] for r in rows}
 
 
+def _check_classes(names: Sequence[str | None], label: str) -> None:
+    if len(names) > CLASS_LIMIT:
+        raise ValueError(f"{label} has over {CLASS_LIMIT} values; it is no class label")
+    if None in names:
+        raise ValueError(f"{label} has missing values")
+
+
 def split_quotas(sizes: Mapping[str, int], share: float = TEST_SHARE, order: Sequence[str] | None = None) -> dict[str, int]:
     """Test rows per class: ``share`` of all rows rounded up, by largest remainder."""
     if any(n < 2 for n in sizes.values()):
@@ -115,7 +121,8 @@ def with_fold(df: DataFrame, label: str = "label", key: str = "row_id", folds: i
     stats = df.groupBy(F.col(label).cast("string").alias("k")).agg(
         F.count("*").alias("n"), F.min(key).alias("first"), F.max(key).alias("last")
     )
-    classes = sorted(stats.limit(CLASS_LIMIT).collect(), key=lambda r: r["first"])
+    classes = sorted(stats.limit(CLASS_LIMIT + 1).collect(), key=lambda r: r["first"])
+    _check_classes([r["k"] for r in classes], label)
     if max(r["n"] for r in classes) < folds:
         raise ValueError(f"no class has {folds} rows")
     wanted, cut_ranks = [], {}

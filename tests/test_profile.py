@@ -32,3 +32,13 @@ def test_empty_table(spark):
     assert profile.null_counts(df).count() == 0
     assert profile.histogram(df, ["x"]).count() == 0
     assert profile.ranges(df).collect() == [("x", None, None)]
+
+
+def test_times_do_not_depend_on_the_time_zone(spark):
+    df = spark.sql("SELECT timestamp_ntz'1970-01-02 00:00:01.5' AS at")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert profile.ranges(df).collect() == [("at", 86401.5, 86401.5)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -65,3 +65,10 @@ def test_a_class_smaller_than_the_folds(spark):
     df = spark.createDataFrame([(i, 0 if i < 12 else 1) for i in range(14)], "row_id long, label int")
     rows = with_fold(df).collect()
     assert Counter(r["fold"] for r in rows) == {0: 3, 1: 3, 2: 3, 3: 3, 4: 2}
+
+
+def test_missing_labels_are_refused(spark):
+    df = spark.createDataFrame([(0, 1), (1, 1), (2, None)], "row_id long, label int")
+    for add in (with_test_flag, with_fold):
+        with pytest.raises(ValueError, match="missing"):
+            add(df)
