@@ -185,3 +185,23 @@ def test_cluster_labels(spark, separable):
         assert joined.count() == 240
         purity = joined.groupBy(labels.columns[1]).agg(F.count_distinct("label").alias("n"))
         assert [r["n"] for r in purity.collect()] == [1, 1, 1]
+
+
+def test_neighbours_with_flag_and_cluster_features(spark):
+    rng = np.random.default_rng(9)
+    names = [*F3, "flag", "cluster"]
+
+    def draw(n):
+        return np.column_stack([rng.normal(size=(n, 3)), rng.integers(0, 2, n), rng.integers(-1, 3, n)])
+
+    points, queries = draw(700), draw(120)
+    labels, ids = rng.integers(0, 4, 700), np.arange(700)
+
+    def table(rows, classes, start):
+        data = [(start + i, int(c), *map(float, p[:3]), *map(int, p[3:])) for i, (p, c) in enumerate(zip(rows, classes, strict=True))]
+        return spark.createDataFrame(data, "row_id long, label int, x double, y double, z double, flag int, cluster int")
+
+    asked = table(queries, np.zeros(120), 5000)
+    found = {r["row_id"]: r["prediction"] for r in nearest_votes(table(points, labels, 0), asked, names, tile_size=16).collect()}
+    everyone = np.ones(700, bool)
+    assert found == {5000 + i: _vote(points, labels, ids, q, everyone) for i, q in enumerate(queries)}
