@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfrank.llm.mixing import mix_sources
+from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -39,3 +40,24 @@ FROM o
 @query("op9_source_mix", OP9_SQL)
 def op9(spark, folder):
     return mix_sources(table(spark, folder, "documents"))
+
+
+def _listed(spans):
+    each = F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string")))
+    return F.array_join(each, ",")
+
+
+@query("op3_pii")
+def op3(spark, folder):
+    found = find_pii(table(spark, folder, "documents").select("doc_id", "text"))
+    found = found.withColumn("base", F.filter("pii", lambda x: x["base"]))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, KINDS),
+        F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+        _listed(F.col("pii")).alias("spans"),
+    )
