@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.session import write_table
 
-ROWS_PER_RANGE = 100_000
+ROWS_PER_RANGE = 10_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
