@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
 from shelfrank.llm.mixing import mix_sources
 from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
+from shelfrank.llm.sharding import document_keys, shard_rows
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -61,3 +63,55 @@ def op3(spark, folder):
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.col("pii")).alias("spans"),
     )
+
+
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+OP2_SQL = r"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (
+    SELECT *, regexp_replace(text, '(<|</|<<|<</|\[|\[/)(~*)(\||s>|SYS>>|INST\])', '\1~\2\3', 'g') AS safe FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('<|turn|><|body|><|end|>') + length(role) + length(safe)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op2_chat", OP2_SQL)
+def op2(spark, folder):
+    told = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    messages = told.unionByName(more)
+    chats = format_chats(messages.select("conv_id", "turn", "role", text_part(F.col("text")).alias("parts")))
+    chats = chats.withColumns(
+        {"turns": read_turns(F.col("formatted")), "loss": loss_text(F.col("formatted"), F.col("mask"))}
+    )
+    line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(line, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op7_ring_shards")
+def op7(spark, folder):
+    dealt = shard_rows(document_keys(table(spark, folder, "documents")))
+    return dealt.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "home_shard",
+    )
