@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
 from shelfrank.llm.mixing import mix_sources
 from shelfrank.llm.pii import KINDS, find_pii
+from shelfrank.llm.quality import judge_documents
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
 from shelfrank.llm.sharding import document_keys, shard_rows
 
@@ -115,3 +116,12 @@ def op7(spark, folder):
         F.lit(None).cast("int").alias("grown_shard"),
         "home_shard",
     )
+
+
+@query("op6_quality")
+def op6(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = judge_documents(docs, table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
