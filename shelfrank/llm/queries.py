@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
+from shelfrank.llm.language import identify_languages
 from shelfrank.llm.mixing import mix_sources
 from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.quality import judge_documents
@@ -125,3 +126,8 @@ def op6(spark, folder):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
     )
+
+
+@query("op8_language")
+def op8(spark, folder):
+    return identify_languages(table(spark, folder, "documents"))

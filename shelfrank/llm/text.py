@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 21
+SLICE_TEXTS = 1024
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -32,7 +33,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, most: int = SLICE_TEXTS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, after last, bytes, offsets) of runs of whole texts; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -46,7 +47,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
     low = 0
     while low < count:
         high = int(np.searchsorted(ends, ends[low] + limit, side="right")) - 1
-        high = min(count, max(high, low + 1))
+        high = min(count, low + most, max(high, low + 1))
         yield low, high, data[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
         low = high
 
