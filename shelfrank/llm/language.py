@@ -20,7 +20,7 @@ DIMENSIONS = 4096
 FIT_ROWS = 3000
 RIDGE = 0.3
 SHARPNESS = 2.0
-AMBIGUOUS_BELOW = 0.5
+AMBIGUOUS_BELOW = 0.35
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
+from shelfrank.llm.html_text import extract_text
 from shelfrank.llm.language import identify_languages
 from shelfrank.llm.mixing import mix_sources
 from shelfrank.llm.pii import KINDS, find_pii
@@ -131,3 +132,8 @@ def op6(spark, folder):
 @query("op8_language")
 def op8(spark, folder):
     return identify_languages(table(spark, folder, "documents"))
+
+
+@query("op4_html_text")
+def op4(spark, folder):
+    return extract_text(table(spark, folder, "pages"))
