@@ -8,6 +8,7 @@ from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
 from shelfrank.llm.html_text import extract_text
 from shelfrank.llm.language import identify_languages
 from shelfrank.llm.mixing import mix_sources
+from shelfrank.llm.near_vectors import near_vectors
 from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.quality import judge_documents
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
@@ -137,3 +138,8 @@ def op8(spark, folder):
 @query("op4_html_text")
 def op4(spark, folder):
     return extract_text(table(spark, folder, "pages"))
+
+
+@query("op5_near_vectors")
+def op5(spark, folder):
+    return near_vectors(table(spark, folder, "embeddings"))

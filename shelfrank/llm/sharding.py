@@ -28,7 +28,7 @@ def _place(*key: Column) -> Column:
 
 def ring_places(spark, shards: int, virtual_nodes: int) -> list[tuple[int, int]]:
     """The virtual nodes as (place, shard), clockwise: ``shards * virtual_nodes`` rows."""
-    nodes = spark.range(shards).crossJoin(spark.range(virtual_nodes).withColumnRenamed("id", "v"))
+    nodes = spark.range(shards).withColumn("v", F.explode(F.sequence(F.lit(0), F.lit(virtual_nodes - 1))))
     rows = nodes.select(_place(F.lit("node"), F.col("id").cast("string"), F.col("v").cast("string")).alias("p"), "id")
     return sorted((r["p"], r["id"]) for r in rows.collect())
 
