@@ -17,8 +17,9 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "n_upper", "n_digits", "n_marks")
 STATS_SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in STATS)
 
-#: Rows of which the forest is grown: the first by a hash of doc_id.  Documented bound of the fit.
-FIT_ROWS = 20_000
+#: Rows of which the forest is grown, about so many by a hash of doc_id, never over twice as many.
+FIT_ROWS = 10_000
+HASH_PARTS = 1_000_000
 TREES = 100
 TREE_ROWS = 256
 SCORE_STEPS = 4096
@@ -177,8 +178,8 @@ def anomaly(forest: list[tuple[np.ndarray, ...]], x: np.ndarray, rows: int) -> n
 def judge_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Statistics, base verdict, anomaly score and ``kept`` of every document.
 
-    The forest grows on at most ``fit_rows`` documents, the first by a hash of doc_id, among those that
-    pass the base rules.  The threshold comes from all labelled rows: it is the one that
+    The forest grows on about ``fit_rows`` documents, drawn by a hash of doc_id among those that pass
+    the base rules.  The threshold comes from all labelled rows: it is the one that
     misjudges the fewest of them.  Without labels, or where no threshold beats keeping
     everything, the base rules alone decide.
 
@@ -188,7 +189,11 @@ def judge_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     stats = write_table(rule_statistics(docs), "quality-statistics")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stats = stats.withColumn("base_failed", failed)
-    sample = stats.where("NOT base_failed").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS).limit(fit_rows).toPandas()
+    passing = stats.where("NOT base_failed")
+    # A share of the hash range instead of the lowest hashes: no task sends more than its share.
+    share = int(HASH_PARTS * min(1.0, fit_rows / max(1, passing.count())))
+    drawn = passing.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_PARTS)) < share)
+    sample = drawn.limit(2 * fit_rows).toPandas().sort_values(["doc_id", *STATS])
     if not len(sample):
         return stats.withColumns({"score": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
     x = features({c: sample[c].to_numpy() for c in STATS})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
@@ -9,6 +10,7 @@ from shelfrank.llm.html_text import extract_text
 from shelfrank.llm.language import identify_languages
 from shelfrank.llm.mixing import mix_sources
 from shelfrank.llm.near_vectors import near_vectors
+from shelfrank.llm.packing import pack_documents
 from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.quality import judge_documents
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
@@ -143,3 +145,8 @@ def op4(spark, folder):
 @query("op5_near_vectors")
 def op5(spark, folder):
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op10_bm25_packing")
+def op10(spark, folder):
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
