@@ -10,6 +10,7 @@ from shelfrank.llm.html_text import extract_text
 from shelfrank.llm.language import identify_languages
 from shelfrank.llm.mixing import mix_sources
 from shelfrank.llm.near_vectors import near_vectors
+from shelfrank.llm.ngram_join import jaccard_groups
 from shelfrank.llm.packing import pack_documents
 from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.quality import judge_documents
@@ -150,3 +151,30 @@ def op5(spark, folder):
 @query("op10_bm25_packing")
 def op10(spark, folder):
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+    SELECT doc_id, CASE WHEN words IS NULL OR len(words) = 0 THEN []
+        WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)]) END AS grams
+    FROM w),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+        AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (
+    SELECT doc_id AS node, doc_id AS root FROM documents
+    UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.node)
+SELECT s.doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, min(root) AS component_id
+FROM s JOIN reach ON reach.node = s.doc_id GROUP BY s.doc_id, len(grams)
+"""
+
+
+@query("op1_ngram_join", OP1_SQL)
+def op1(spark, folder):
+    return jaccard_groups(table(spark, folder, "documents"))
