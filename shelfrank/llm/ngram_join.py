@@ -32,7 +32,10 @@ BAND_GROWTH = 1.5
 SPARE = 2
 BLOCK_NGRAMS = 1 << 19
 BROADCAST_ROWS = 1_000_000
-CHUNK = 128
+#: N-grams of a node looked up at once, memory of a batch's lookup table, places where remaining lengths are known.
+CHUNK = 32
+LOOKUP_BYTES = 1 << 25
+MARKS = 64
 _U = np.uint64
 
 
@@ -190,48 +193,65 @@ class PrefixTree:
     def links(self, labels: np.ndarray, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
         """Links that join sets of different labels; ``labels`` is updated as they are found.
 
-        A subtree whose sets all carry the query's label is left: links within are of no consequence.
+        The tree is walked once for a batch of queries: a node's n-grams are looked up for all
+        queries that are still under way, and what they have overlapped so far is shared by the
+        node's children.  A query leaves a subtree when its remaining length or that of the sets
+        below cannot reach the overlap needed, or when all sets below carry its label already.
         With ``sides`` only sets of different sides are compared.
         """
-        found = []
-        for i, query in enumerate(self.sets):
-            size = len(query)
-            todo = [(0, 0, 0)]
-            while todo:
-                number, overlap, passed = todo.pop()
-                low, high, depth, end, least, most = self.nodes[number]
-                if high <= i + 1 or most * OF < AT_LEAST * size or least * AT_LEAST > OF * size:
-                    continue
-                others = labels[max(low, i + 1) : high] != labels[i]
-                if sides is not None:
-                    others &= sides[max(low, i + 1) : high] != sides[i]
-                if not others.any():
-                    continue
-                smallest = max(least, -(-AT_LEAST * size // OF))
-                need = -(-AT_LEAST * (size + smallest) // (AT_LEAST + OF))
-                edge, alive = self.sets[low], True
-                while depth < end:
-                    piece = edge[depth : min(end, depth + CHUNK)]
-                    depth += len(piece)
-                    stop = passed + int(np.searchsorted(query[passed:], piece[-1], side="right"))
-                    part = query[passed:stop]
-                    if len(part):
-                        at = np.searchsorted(part, piece)
-                        at[at == len(part)] = 0
-                        overlap += int((part[at] == piece).sum())
-                    passed = stop
-                    if overlap + min(size - passed, most - depth) < need:
-                        alive = False
-                        break
-                if not alive:
-                    continue
-                if high - low > 1:
-                    todo += [(child, overlap, passed) for child in self.children[number]]
-                elif OF * overlap >= AT_LEAST * (size + len(edge) - overlap):
-                    found.append((i, low))
-                    labels[labels == labels[low]] = labels[i]
+        words = np.unique(np.concatenate(self.sets))
+        local = [np.searchsorted(words, s) for s in self.sets]
+        width = max(1, LOOKUP_BYTES // max(1, len(words)))
+        found: list[tuple[int, int]] = []
+        for first in range(0, len(local), width):
+            self._walk(local, len(words), first, min(len(local), first + width), labels, sides, found)
         return found
 
+    def _walk(self, local, words, first, last, labels, sides, found) -> None:
+        queries = np.arange(first, last)
+        size = self.sizes[first:last]
+        holds = np.zeros((words, last - first), dtype=np.uint8)
+        for column, q in enumerate(queries):
+            holds[local[q], column] = 1
+        # How many n-grams of each query are still to come at some places of the order.
+        places = np.unique(np.linspace(0, words, MARKS + 1).astype(np.int64)[:-1])
+        left = np.cumsum(np.add.reduceat(holds, places, axis=0, dtype=np.int64)[::-1], axis=0)[::-1]
+        todo = [(0, np.arange(last - first), np.zeros(last - first, dtype=np.int64))]
+        while todo:
+            number, at, overlap = todo.pop()
+            low, high, depth, end, least, most = self.nodes[number]
+            below = labels[low:high]
+            use = (queries[at] < high - 1) & (most * OF >= AT_LEAST * size[at]) & (least * AT_LEAST <= OF * size[at])
+            if (below == below[0]).all():
+                use &= labels[queries[at]] != below[0]
+            if sides is not None and (sides[low:high] == sides[low]).all():
+                use &= sides[queries[at]] != sides[low]
+            at, overlap = at[use], overlap[use]
+            smallest = np.maximum(least, -(-AT_LEAST * size[at] // OF))
+            need = -(-AT_LEAST * (size[at] + smallest) // (AT_LEAST + OF))
+            edge = local[low]
+            while depth < end and len(at):
+                piece = edge[depth : min(end, depth + CHUNK)]
+                depth += len(piece)
+                if 2 * len(at) < len(queries):
+                    overlap = overlap + holds[np.ix_(piece, at)].sum(axis=0, dtype=np.int64)
+                else:
+                    overlap = overlap + holds[piece].sum(axis=0, dtype=np.int64)[at]
+                mark = int(np.searchsorted(places, piece[-1], side="right")) - 1
+                use = overlap + np.minimum(left[mark][at], most - depth) >= need
+                # Of the mark's own stretch some may be overlapped already, so the bound is never too low.
+                if not use.all():
+                    at, overlap, need = at[use], overlap[use], need[use]
+            if not len(at):
+                continue
+            if high - low > 1:
+                todo += [(child, at, overlap) for child in self.children[number]]
+                continue
+            linked = queries[at[OF * overlap >= AT_LEAST * (size[at] + len(edge) - overlap)]]
+            _, one_each = np.unique(labels[linked], return_index=True)
+            found += [(int(q), low) for q in linked[one_each]]
+            labels[np.isin(labels, labels[linked])] = labels[low]
+
 
 def _join(group: pd.DataFrame) -> pd.DataFrame:
     """Links of the clusters (or pairs of blocks) in a shard, one prefix tree each, as a spanning forest."""
