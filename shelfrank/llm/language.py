@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,7 @@ from shelfrank.llm.text import LOWER, mix64, slices
 DIMENSIONS = 4096
 #: Labelled rows that the classifiers are fitted on, all languages together.  Documented bound of the fit.
 FIT_ROWS = 3000
+HASH_PARTS = 1_000_000
 RIDGE = 0.3
 SHARPNESS = 2.0
 AMBIGUOUS_BELOW = 0.35
@@ -118,23 +119,19 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit_language_model(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel | None:
-    """Fit on at most ``fit_rows`` rows of (doc_id, text, lang), as many of each language.
+    """Fit on about ``fit_rows`` rows of (doc_id, text, lang), as many of each language, never over twice as many.
 
-    Rows are the first of their language by a hash of doc_id.  None if no row has text and language.
+    Rows are drawn by a hash of doc_id.  None if no row has text and language.
     """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
-    if not languages:
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    if not counts:
         return None
-    draw = F.xxhash64(F.col("doc_id").cast("string"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    ids = rows.select("doc_id", "lang", draw.alias("draw")).withColumn("turn", turn)
-    ids = ids.where(F.col("turn") <= max(1, fit_rows // len(languages))).select(F.col("doc_id").alias("of_doc"), F.col("lang").alias("of_lang"))
-    # At most fit_rows ids, so the texts are not shuffled.
-    chosen = rows.join(
-        F.broadcast(ids.distinct()), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("lang") == F.col("of_lang")), "left_semi"
-    )
-    fitted = chosen.select("lang", "text").limit(fit_rows).mapInArrow(_profile, "lang string, profile binary").toPandas()
+    # Each language gives a share of the hash range, so no language's rows meet in one task.
+    share = {c: HASH_PARTS * fit_rows // (len(counts) * n) + 1 for c, n in counts.items()}
+    bound = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
+    chosen = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(HASH_PARTS)) < bound)
+    fitted = chosen.select("lang", "text").limit(2 * fit_rows).mapInArrow(_profile, "lang string, profile binary").toPandas()
     profiles = np.frombuffer(b"".join(fitted["profile"]), dtype=np.float32).reshape(-1, DIMENSIONS)
     number = {name: i for i, name in enumerate(sorted(set(fitted["lang"])))}
     return fit_bits(profiles, fitted["lang"].map(number).to_numpy(), list(number))
