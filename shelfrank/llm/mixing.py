@@ -46,7 +46,8 @@ def source_targets(
     # The level if all sources before this one are full and none from here on.
     level = (F.col("budget") - F.col("spent")) / F.col("open")
     s = s.withColumn("level", F.when(level < F.col("full_at"), level))
-    target = F.least(F.col("limit"), F.min("level").over(everything) * F.col("weight"))
+    # Beyond the first source that stays open, this falls: those before it are not all full.
+    target = F.least(F.col("limit"), F.max("level").over(everything) * F.col("weight"))
     return s.select("source", "source_size", F.coalesce(target, F.col("limit")).alias("target"))
 
 
@@ -134,15 +135,14 @@ def apply_mix(
     Documents of which nothing is taken go.  The columns stay those of ``docs``; n_chars follows the text.
     The texts are not shuffled: a row meets only the small table of cuts.
     """
-    sized = write_table(_sized(docs, seed).select("source", "_size", "_draw"), "mix-sizes")
-    rows = _with_taken(_sized(docs, seed), source_cuts(sized, weights, share, epochs)).where("taken > 0")
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text")  # no column of docs clashes with ours
+    sized = write_table(_sized(packed, seed).select("source", "_size", "_draw"), "mix-sizes")
+    rows = _with_taken(_sized(packed, seed), source_cuts(sized, weights, share, epochs)).where("taken > 0")
     copies = F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("_size")))
-    rows = rows.withColumn("_copy", F.explode(copies))
-    rows = rows.withColumn("_words", F.least(F.col("_size"), F.col("taken") - F.col("_copy") * F.col("_size")))
-    head = F.expr(r"regexp_substr(text, concat('^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){', _words, '}+'))")
-    text = F.when(F.col("_words") >= F.col("_size"), F.col("text")).otherwise(head)
-    changed = {"text": text}
-    rows = rows.withColumns(changed)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*docs.columns)
+    rows = rows.withColumn("copy", F.explode(copies))
+    rows = rows.withColumn("words", F.least(F.col("_size"), F.col("taken") - F.col("copy") * F.col("_size")))
+    head = F.expr(r"regexp_substr(text, concat('^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){', words, '}+'))")
+    text = F.when(F.col("words") >= F.col("_size"), F.col("text")).otherwise(head)
+    rows = rows.withColumn("text", text)
+    changed = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -159,7 +159,7 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     whole = F.coalesce(F.col(text), F.lit(""))
     names = [*BASE, *PROPOSED]
     parts = {f"_pii_{n}": _spans(whole, n, i) for i, n in enumerate(names)}
-    rows = docs.withColumns(parts)
+    rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in parts.items()])
     base = F.concat(*[F.col(f"_pii_{n}") for n in BASE])
     more = F.concat(*[F.col(f"_pii_{n}") for n in PROPOSED])
     rows = rows.withColumns({"_pii_base": base, "_pii_more": more})
@@ -169,8 +169,8 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
         return (x["score"] >= KEEP_FROM) & ~clash
 
     kept = F.filter(F.col("_pii_more"), fits)
-    rows = rows.withColumn(into, F.array_sort(F.concat(F.col("_pii_base"), kept)))
-    return rows.drop(*parts, "_pii_base", "_pii_more")
+    found = F.array_sort(F.concat(F.col("_pii_base"), kept))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != into], found.alias(into))
 
 
 def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -178,23 +178,21 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Null texts stay null; n_chars, if there, follows the text.
     """
-    rows = find_pii(docs, text, "_pii")
+    rows = find_pii(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")), "text", "_pii")
 
     def step(acc, x):
         low = F.greatest(acc["at"], x["start"])
         fresh = x["start"] >= acc["at"]
         mask = F.when(fresh, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">"))).otherwise(F.lit(""))
-        piece = F.concat(F.substring(F.col(text), acc["at"] + 1, low - acc["at"]), mask)
+        piece = F.concat(F.substring("text", acc["at"] + 1, low - acc["at"]), mask)
         return F.struct(
             F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], F.array(piece)).alias("out")
         )
 
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    done = F.aggregate(F.col("_pii"), start, step)
-    rows = rows.withColumn("_done", F.when(F.size("_pii") > 0, done))
-    tail = F.substring(F.col(text), F.col("_done.at") + 1, F.length(text))
-    masked = F.concat(F.array_join("_done.out", ""), tail)
-    rows = rows.withColumn(text, F.when(F.col("_done").isNotNull(), masked).otherwise(F.col(text)))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length(text).cast("long"))
-    return rows.select(*docs.columns)
+    rows = rows.withColumn("done", F.when(F.size("_pii") > 0, F.aggregate("_pii", start, step)))
+    tail = F.substring("text", F.col("done.at") + 1, F.length("text"))
+    masked = F.concat(F.array_join("done.out", ""), tail)
+    rows = rows.withColumn("text", F.when(F.col("done").isNotNull(), masked).otherwise(F.col("text")))
+    changed = {text: F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])

@@ -32,7 +32,7 @@ r AS (
     SELECT *, top / weight AS full_at, sum(source_size) OVER () * 1.5::DOUBLE AS budget,
            coalesce(sum(top) OVER b, 0) AS spent, sum(weight) OVER () - coalesce(sum(weight) OVER b, 0) AS open
     FROM w WINDOW b AS (ORDER BY top / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min((budget - spent) / open) AS level FROM r WHERE (budget - spent) / open < full_at),
+l AS (SELECT max((budget - spent) / open) AS level FROM r WHERE (budget - spent) / open < full_at),
 t AS (
     SELECT source, source_size, CAST(coalesce(least(top, level * weight), top) AS DOUBLE) AS target FROM r, l),
 p AS (
