@@ -5,18 +5,58 @@ Each stage reads what the one before it wrote.  All but the last return the colu
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from shelfrank.llm.language import UNKNOWN, fit_language_model, held_out, predict_language
 from shelfrank.llm.mixing import apply_mix
+from shelfrank.llm.ngram_join import drop_copies
+from shelfrank.llm.packing import pack_documents
+from shelfrank.llm.pii import mask_pii
 from shelfrank.session import write_table
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def identify_language(spark, docs, sf_dir):
+    """Documents whose language is known; those without letters or between two languages go.
+
+    ``lang`` becomes the language found.
+    """
+    model = fit_language_model(docs.where(~held_out(F.col("doc_id"))))
+    known = predict_language(docs, model).where((F.col("lang_pred") != UNKNOWN) & ~F.col("ambiguous"))
+    return known.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """One document of each group of near copies: the one with the smallest doc_id."""
+    return drop_copies(docs)
+
+
+def mask_personal_data(spark, docs, sf_dir):
+    """Spans of personal data become the name of their kind."""
+    return mask_pii(docs)
+
 
 def mix(spark, docs, sf_dir):
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix of sources takes it."""
     return apply_mix(docs)
 
 
-STAGES = [("mix_sources", mix)]
+def pack(spark, docs, sf_dir):
+    """Pieces of the documents in training sequences."""
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_copies", drop_near_copies),
+    ("personal_data", mask_personal_data),
+    ("mix_sources", mix),
+    ("packing", pack),
+]
 
-# Packing and language prediction have no SQL; tests compare the stages with brute force.
+# Learned languages and packing have no SQL; a test compares the stages with brute force.
 ORACLE_SQL = None
 
 
