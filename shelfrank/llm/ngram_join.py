@@ -30,11 +30,11 @@ AT_LEAST, OF = 90, 100
 BAND_GROWTH = 1.5
 #: Segments kept beyond the differences possible; see ``segment_keys``.
 SPARE = 2
-BLOCK_NGRAMS = 1 << 19
+BLOCK_NGRAMS = 1 << 21
 BROADCAST_ROWS = 1_000_000
 #: N-grams of a node looked up at once, memory of a batch's lookup table, places where remaining lengths are known.
 CHUNK = 32
-LOOKUP_BYTES = 1 << 25
+LOOKUP_BYTES = 1 << 26
 MARKS = 64
 _U = np.uint64
 
@@ -199,23 +199,27 @@ class PrefixTree:
         below cannot reach the overlap needed, or when all sets below carry its label already.
         With ``sides`` only sets of different sides are compared.
         """
-        words = np.unique(np.concatenate(self.sets))
-        local = [np.searchsorted(words, s) for s in self.sets]
-        width = max(1, LOOKUP_BYTES // max(1, len(words)))
+        words, times = np.unique(np.concatenate(self.sets), return_counts=True)
+        words = words[times > 1]  # no other set holds the rest
+        if not len(words):
+            return []
+        places = [np.searchsorted(words, s) for s in self.sets]
+        shared = [words[np.minimum(p, len(words) - 1)] == s for p, s in zip(places, self.sets, strict=True)]
+        width = max(1, LOOKUP_BYTES // len(words))
         found: list[tuple[int, int]] = []
-        for first in range(0, len(local), width):
-            self._walk(local, len(words), first, min(len(local), first + width), labels, sides, found)
+        for first in range(0, len(places), width):
+            self._walk(places, shared, len(words), first, min(len(places), first + width), labels, sides, found)
         return found
 
-    def _walk(self, local, words, first, last, labels, sides, found) -> None:
+    def _walk(self, places, shared, words, first, last, labels, sides, found) -> None:
         queries = np.arange(first, last)
         size = self.sizes[first:last]
         holds = np.zeros((words, last - first), dtype=np.uint8)
         for column, q in enumerate(queries):
-            holds[local[q], column] = 1
-        # How many n-grams of each query are still to come at some places of the order.
-        places = np.unique(np.linspace(0, words, MARKS + 1).astype(np.int64)[:-1])
-        left = np.cumsum(np.add.reduceat(holds, places, axis=0, dtype=np.int64)[::-1], axis=0)[::-1]
+            holds[places[q][shared[q]], column] = 1
+        # How many shared n-grams of each query are still to come at some places of the order.
+        marks = np.unique(np.linspace(0, words, MARKS + 1).astype(np.int64)[:-1])
+        left = np.cumsum(np.add.reduceat(holds, marks, axis=0, dtype=np.int64)[::-1], axis=0)[::-1]
         todo = [(0, np.arange(last - first), np.zeros(last - first, dtype=np.int64))]
         while todo:
             number, at, overlap = todo.pop()
@@ -229,15 +233,17 @@ class PrefixTree:
             at, overlap = at[use], overlap[use]
             smallest = np.maximum(least, -(-AT_LEAST * size[at] // OF))
             need = -(-AT_LEAST * (size[at] + smallest) // (AT_LEAST + OF))
-            edge = local[low]
+            edge, known = places[low], shared[low]
+            chunk = int(min(max(CHUNK, (end - depth) // 16), 8 * CHUNK))
             while depth < end and len(at):
-                piece = edge[depth : min(end, depth + CHUNK)]
-                depth += len(piece)
+                stop = min(end, depth + chunk)
+                piece = edge[depth:stop][known[depth:stop]]
+                depth = stop
                 if 2 * len(at) < len(queries):
                     overlap = overlap + holds[np.ix_(piece, at)].sum(axis=0, dtype=np.int64)
                 else:
                     overlap = overlap + holds[piece].sum(axis=0, dtype=np.int64)[at]
-                mark = int(np.searchsorted(places, piece[-1], side="right")) - 1
+                mark = int(np.searchsorted(marks, edge[stop - 1], side="right")) - 1
                 use = overlap + np.minimum(left[mark][at], most - depth) >= need
                 # Of the mark's own stretch some may be overlapped already, so the bound is never too low.
                 if not use.all():
@@ -330,16 +336,18 @@ def _linked_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
     shards = max(1, -(-facts["n"] // BLOCK_NGRAMS))
     edges, step = None, 0
     rows = stored.withColumn("label", F.col("set_key"))
-    # Block i meets block i XOR step; clusters in one piece or without further blocks drop out.
-    while step < 1 << (facts["blocks"] - 1).bit_length():
-        mate = F.col("block").bitwiseXOR(F.lit(step))
+    # Block i meets block i XOR step, first itself, then for twice as many steps each time.  In between, clusters
+    # drop out that have no further blocks or are connected already.
+    while edges is None or step < 1 << (facts["blocks"] - 1).bit_length():
+        steps = F.sequence(F.lit(step), F.lit(max(0, 2 * step - 1)))
+        mate = F.col("block").bitwiseXOR(F.col("step").cast("long"))
         pair = F.least("block", mate) * F.col("blocks") + F.greatest("block", mate)
-        met = rows.where(mate < F.col("blocks")).withColumn("pair", pair)
-        met = met.withColumn("shard", F.pmod(F.xxhash64("cluster", "pair"), F.lit(shards)))
+        met = rows.withColumn("step", F.explode(steps)).where(mate < F.col("blocks")).withColumn("pair", pair)
+        met = met.withColumn("shard", F.pmod(F.xxhash64("cluster", "pair"), F.lit(shards * max(1, step))))
         met = met.select("shard", "cluster", "pair", "block", "set_key", "label", "grams")
         found = write_table(met.groupBy("shard").applyInPandas(_join, "a long, b long"), "ngram-links")
         edges = found if edges is None else edges.union(found)
-        step += 1
+        step = max(1, 2 * step)
         if facts["blocks"] == 1:
             break
         linked = connected_components(edges)

@@ -193,7 +193,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TO
     rows = table.where("row_key IS NOT NULL").select("row_key", "doc_id", "ids")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("row_key"), F.lit(shards)))
 
-    def pack(key, group: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         return _pack(key, group, corpus)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
