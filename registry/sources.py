@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from registry.core import Tables, query, rounded
 from registry.sql import with_tables
 from shelfrank.operators.rank import group_ranking
+from shelfrank.operators.split import label_codes
 from shelfrank.plans.products import LINE_ORDER
 from shelfrank.session import scratch_path
 from shelfrank.sources import (
@@ -21,23 +22,33 @@ from shelfrank.sources import (
     write_csv,
 )
 
-# The categories of the test tables.
-TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 FIELDS = [f.name for f in PRODUCT_SCHEMA]
 
 
-def _category_files(t: Tables, leave_out: tuple[str, ...] = ()) -> list[str]:
-    """Write the products as one CSV folder per category, in one pass, and name the folders."""
+#: The category whose file is missing, or whose table comes twice.
+ODD_ONE = "PROMO"
+
+
+def _category_files(t: Tables, leave_out: str | None = None) -> list[str]:
+    """Write the products as one CSV folder per category, in one pass, and name the folders.
+
+    Folders are numbered by the categories found, NULL among them.
+    """
     folder = scratch_path(t.spark, "categories")
-    rows = t.products.where(~F.col("category").isin(*leave_out)) if leave_out else t.products
+    names = label_codes(t.products, "category").withColumnRenamed("label", "file")
+    rows = t.products.join(F.broadcast(names), "category", "left")  # label_codes checks the number of categories
+    rows = rows.withColumn("file", F.coalesce("file", F.lit(-1)))
+    numbers = [r["file"] for r in rows.select("file").distinct().orderBy("file").collect()]
+    if leave_out is not None:
+        rows = rows.where(~F.col("category").eqNullSafe(leave_out))
     (
-        rows.select(*FIELDS, F.col("category").alias("file"))
+        rows.select(*FIELDS, "file")
         .write.partitionBy("file")
         .option("header", True)
         .option("escape", '"')
         .csv(folder)
     )
-    return [f"{folder}/file={c}" for c in TYPES]
+    return [f"{folder}/file={n}" for n in numbers]
 
 
 @query("a1_scan_category_csv", with_tables(f"SELECT {', '.join(FIELDS)} FROM products"))
@@ -45,25 +56,25 @@ def scan_category_csv(t):
     return scan_csv(t.spark, _category_files(t), PRODUCT_SCHEMA)
 
 
-@query("a2_missing_file", with_tables(f"SELECT {', '.join(FIELDS)} FROM products WHERE category <> 'PROMO'"))
+@query("a2_missing_file", with_tables(f"SELECT {', '.join(FIELDS)} FROM products WHERE category IS DISTINCT FROM 'PROMO'"))
 def missing_file(t):
-    return scan_present(t.spark, _category_files(t, leave_out=("PROMO",)), PRODUCT_SCHEMA)
+    return scan_present(t.spark, _category_files(t, leave_out=ODD_ONE), PRODUCT_SCHEMA)
 
 
 @query(
     "a3_union_all_by_name",
     with_tables(
-        """SELECT id, category, current_price, brand FROM products WHERE category <> 'ECONOMY'
-        UNION ALL BY NAME SELECT id, category, current_price FROM products WHERE category = 'ECONOMY'
-        UNION ALL BY NAME SELECT id, category, current_price FROM products WHERE category = 'ECONOMY'"""
+        """SELECT id, category, current_price, brand FROM products WHERE category IS DISTINCT FROM 'PROMO'
+        UNION ALL BY NAME SELECT id, category, current_price FROM products WHERE category = 'PROMO'
+        UNION ALL BY NAME SELECT id, category, current_price FROM products WHERE category = 'PROMO'"""
     ),
 )
 def union_by_name(t):
     chosen = t.products.select("current_price", "brand", "category", "id")
-    frames = [chosen.where(F.col("category") == c) for c in TYPES]
+    odd = F.col("category").eqNullSafe(ODD_ONE)
     # The table without brands comes twice: copies are kept.
-    without_brand = frames[0].drop("brand")
-    return union_all_by_name([without_brand, *frames[1:], without_brand])
+    without_brand = chosen.where(odd).drop("brand")
+    return union_all_by_name([without_brand, chosen.where(~odd), without_brand])
 
 
 @query(
@@ -81,7 +92,10 @@ texts AS (
          CASE WHEN discount IS NULL THEN 'NaN' WHEN is_new THEN ' ' || discount ELSE discount || '.0' END AS discount_text,
          CASE WHEN likes_count IS NULL THEN '' ELSE CAST(likes_count AS VARCHAR) END AS likes_text,
          CASE WHEN likes_count IS NULL THEN '#N/A' ELSE likes_count || '.5' END AS score_text,
-         CASE WHEN is_new THEN 'True' ELSE 'False' END AS flag_text
+         CASE WHEN is_new THEN 'True' ELSE 'False' END AS flag_text,
+         CASE WHEN is_new THEN 'y' ELSE 'n' END AS letter_text,
+         discount || 'D' AS size_text,
+         CASE WHEN row_id % 2 = 0 THEN 'Infinity' ELSE likes_count || 'e0' END AS wide_text
   FROM products
 )"""
 
@@ -99,6 +113,9 @@ def _texts(t):
         F.coalesce(likes.cast("string"), F.lit("")).alias("likes_text"),
         F.coalesce(F.concat(likes, F.lit(".5")), F.lit("#N/A")).alias("score_text"),
         F.when(new, "True").otherwise("False").alias("flag_text"),
+        F.when(new, "y").otherwise("n").alias("letter_text"),
+        F.concat(discount, F.lit("D")).alias("size_text"),
+        F.when(F.col("row_id") % 2 == 0, "Infinity").otherwise(F.concat(likes, F.lit("e0"))).alias("wide_text"),
     )
 
 
@@ -126,7 +143,7 @@ def na_tokens(t):
         """SELECT name AS column_name,
         CASE WHEN count(try_cast(cell AS BIGINT)) = count(cell) AND NOT bool_or(contains(cell, '.')) THEN 'bigint'
              WHEN count(try_cast(cell AS DOUBLE)) = count(cell) THEN 'double'
-             WHEN count(try_cast(cell AS BOOLEAN)) = count(cell) THEN 'boolean' ELSE 'string' END AS data_type,
+             WHEN bool_and(lower(cell) IN ('true', 'false')) THEN 'boolean' ELSE 'string' END AS data_type,
         count(cell) AS present
         FROM (SELECT name, CASE WHEN cell NOT IN ('', 'N/A', 'None', 'NaN', '#N/A') THEN trim(cell) END AS cell
               FROM (SELECT * EXCLUDE row_id FROM texts) UNPIVOT INCLUDE NULLS (cell FOR name IN (*))) GROUP BY name""",

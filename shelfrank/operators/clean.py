@@ -68,7 +68,7 @@ class Fence:
     active: bool
 
     def keeps(self) -> Column:
-        # Also drops NULL, and reaches the Parquet scan as a pushed filter.
+        # Also drops NULL.  Over a stored column it is pushed to the scan; over a filled one it is not.
         return F.col(self.column).between(F.lit(self.lower), F.lit(self.upper))
 
     def outlier(self) -> Column:

@@ -1,4 +1,4 @@
-"""Cluster labels to attach: k-means, top-down hierarchical, and density-based."""
+"""Cluster labels to attach: k-means and top-down hierarchical."""
 
 from __future__ import annotations
 

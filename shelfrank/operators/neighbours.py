@@ -1,11 +1,12 @@
 """Exact k nearest neighbours by equi-joins on tiles of about equal size.
 
 The training points are cut into slabs of about equal size along one feature,
-each slab along the next, and so on.  The tiles that result hold a few dozen
-points each, wherever the data is dense or thin.  A query takes the k-th
-distance inside its own tile as a radius, and then looks only into the tiles
-its ball touches.  Nothing closer can lie elsewhere, so the result is exact,
-and the work per query does not grow with the table.
+each slab along the next, and so on.  Where features have many values the tiles
+hold a few dozen points each; one value shared by many points is not cut, so
+its tile grows with them.  A query takes the k-th distance inside its own tile
+as a radius, and then looks only into the tiles its ball touches.  Nothing
+closer can lie elsewhere, so the result is exact.  Queries near the data touch
+a few tiles, queries far from it most of them.
 """
 
 from __future__ import annotations
@@ -71,14 +72,17 @@ def nearest_votes(
     """Add ``prediction`` to ``queries``: the commonest label of the k nearest training rows.
 
     Equal distances go by the smaller key, equal votes by the smaller label.
+    A query with a missing feature has no neighbours and a NULL prediction;
+    training rows with one do not count.
     With ``exclude``, training rows that share the query's value in that column
     do not count, which serves all folds of a cross-validation in one run.
     """
     same = [exclude] if exclude else []
-    points = _without_copies(train.select(key, label, *same, *_numbers(features)), [*features, *same], key, k)
+    complete = train.select(key, label, *same, *_numbers(features)).dropna(subset=list(features))
+    points = _without_copies(complete, [*features, *same], key, k)
     tiling = tile(points, features, label, key, k, same, tile_size)
     # Equal queries are asked once.
-    asked = queries.select(*same, *_numbers(features)).distinct()
+    asked = queries.select(*same, *_numbers(features)).dropna(subset=list(features)).distinct()
     asked = write_table(
         # Little data but much work per row: spread over all tasks.
         asked.repartition(_tasks(asked)).withColumn("_query", F.monotonically_increasing_id()),
@@ -97,7 +101,7 @@ def nearest_votes(
     condition = matches[0]
     for m in matches[1:]:
         condition = condition & m
-    return queries.join(renamed, condition).drop(*[f"_{c}" for c in on])
+    return queries.join(renamed, condition, "left").drop(*[f"_{c}" for c in on])
 
 
 def _tasks(df: DataFrame) -> int:
@@ -164,7 +168,7 @@ def tile(
         placed = _place(placed, cuts[i], axis, path, i)
     paths = [f"_s{i}" for i in range(len(axes))]
     tiles = placed.groupBy(*paths).agg(
-        # About tile_size points, as the cuts were chosen for that.
+        # About tile_size points where features have many values.
         F.collect_list(F.struct(*features, key, label, *extra)).alias("_points"),
         *[f(c).alias(f"_{s}_{c}") for c in features for s, f in [("low", F.min), ("high", F.max)]],
     )

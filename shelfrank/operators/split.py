@@ -116,9 +116,21 @@ def fold_quotas(sizes: Sequence[int], folds: int = FOLDS) -> list[list[int]]:
     return quotas
 
 
-def with_fold(df: DataFrame, label: str = "label", key: str = "row_id", folds: int = FOLDS, small: int = SMALL) -> DataFrame:
-    """Add ``fold``: stratified, unshuffled, each class in blocks by row order."""
-    stats = df.groupBy(F.col(label).cast("string").alias("k")).agg(
+def with_fold(
+    df: DataFrame,
+    label: str = "label",
+    key: str = "row_id",
+    folds: int = FOLDS,
+    small: int = SMALL,
+    among: Column | None = None,
+) -> DataFrame:
+    """Add ``fold``: stratified, unshuffled, each class in blocks by row order.
+
+    With ``among``, the folds are those of these rows; others get NULL.
+    Over ``CLASS_LIMIT`` classes are refused.
+    """
+    dealt = df if among is None else df.where(among)
+    stats = dealt.groupBy(F.col(label).cast("string").alias("k")).agg(
         F.count("*").alias("n"), F.min(key).alias("first"), F.max(key).alias("last")
     )
     classes = sorted(stats.limit(CLASS_LIMIT + 1).collect(), key=lambda r: r["first"])
@@ -131,13 +143,13 @@ def with_fold(df: DataFrame, label: str = "label", key: str = "row_id", folds: i
         cut_ranks[r["k"]] = ends
         wanted += [(r["k"], e) for e in ends if e]
     extents = {r["k"]: Extent(r["n"], r["first"], r["last"]) for r in classes}
-    last = order_statistics(df, key, wanted, group=label, small=small, extents=extents)
+    last = order_statistics(dealt, key, wanted, group=label, small=small, extents=extents)
     # The last row of each fold but the final one; a fold without rows ends before the first row.
     rows = [(k, [last[k, e][0] if e else -1 for e in ends]) for k, ends in cut_ranks.items()]
     limits = small_table(df.sparkSession, rows, "cut_class string, cut_ends array<long>")
     passed = F.size(F.filter("cut_ends", lambda end: end < F.col(key)))
     return (
-        df.join(F.broadcast(limits), F.col(label).cast("string") == F.col("cut_class"))
-        .withColumn("fold", passed)
+        df.join(F.broadcast(limits), F.col(label).cast("string") == F.col("cut_class"), "inner" if among is None else "left")
+        .withColumn("fold", passed if among is None else F.when(among, passed))
         .drop("cut_class", "cut_ends")
     )

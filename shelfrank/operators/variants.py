@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfrank.operators.select import feature_columns, with_flag_number
 from shelfrank.session import write_table
@@ -44,12 +45,35 @@ class LabelError(ValueError):
 
 def attach_equal(base: DataFrame, labels: DataFrame, column: str, key: str = "row_id") -> DataFrame:
     """Attach a label to each row; the two tables must have equally many rows."""
-    n_base, n_labels = base.count(), labels.count()
-    if n_base != n_labels:
-        raise LabelError(f"{column}: {n_labels} labels for {n_base} rows")
+    n_base = base.count()
+    fault = _label_fault(base, labels, key, n_base)
+    if fault:
+        raise LabelError(f"{column}: {fault}")
     return base.join(labels.select(key, column), key)
 
 
+def _label_fault(base: DataFrame, labels: DataFrame, key: str, n_base: int) -> str | None:
+    """Why labels do not stand one to one with the base rows: another length, repeated or unknown keys."""
+    own = base.select(key).withColumn("known", F.lit(1))
+    facts = (
+        labels.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(own, key, "left")
+        .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.sum("known").alias("known"))
+        .first()
+    )
+    rows, keys, known = (facts[c] or 0 for c in ("rows", "keys", "known"))
+    if rows != n_base:
+        return f"{rows} labels for {n_base} rows"
+    if keys != rows:
+        return f"{rows - keys} labels repeat a key"
+    return None if known == keys else f"{keys - known} labels belong to no row"
+
+
+def _repeats_keys(labels: DataFrame, key: str) -> bool:
+    return not labels.groupBy(key).count().where("count > 1").isEmpty()
+
+
 def attach_left(base: DataFrame, labels: DataFrame, column: str, key: str = "row_id") -> DataFrame:
     """Attach a label where there is one, NULL elsewhere."""
     return base.join(labels.select(key, column), key, "left")
@@ -61,8 +85,8 @@ def attach_labels(
     """Attach all label tables to one wide table and say which were attached.
 
     All joins are on ``key``, so the base is shuffled once for all of them.  If
-    equal lengths are required, a table of another length or without its column
-    is logged and left out.
+    labels one to one are required, a table that is not so or lacks its column is logged and
+    left out; otherwise one whose keys repeat, as it would multiply rows.
     """
     wide, attached = base, []
     expected = base.count() if require_equal else None
@@ -72,10 +96,13 @@ def attach_labels(
             if column not in table.columns:
                 log.warning("%s: no column %s", method, column)
                 continue
-            size = table.count()
-            if size != expected:
-                log.warning("%s: %d labels for %d rows", method, size, expected)
+            fault = _label_fault(base, table, key, expected)
+            if fault:
+                log.warning("%s: %s", method, fault)
                 continue
+        elif _repeats_keys(table, key):
+            log.warning("%s: labels repeat a key", method)
+            continue
         wide = attach_left(wide, table, column, key)
         attached.append(method)
     return wide, attached

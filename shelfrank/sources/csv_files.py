@@ -33,21 +33,20 @@ def scan_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     Without one, types are inferred in one pass over the text.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    spans = _cells_span_lines(spark, paths)
-    text = union_all_by_name([_read_text(spark, p, spans) for p in paths])
+    text = union_all_by_name([_read_text(spark, p, _cells_span_lines(spark, p)) for p in paths])
     if schema is None:
         return infer_types(text)
     return parse_columns(text, schema)
 
 
-def _cells_span_lines(spark: SparkSession, paths: Sequence[str]) -> bool:
+def _cells_span_lines(spark: SparkSession, path: str) -> bool:
     """Whether a quoted cell may hold a line break: then a line has an odd number of quotes.
 
-    Files with such cells cannot be split, so that each is read by one task.
-    This scan is split, and spares all other files that fate.
+    Files of such a path cannot be split, so that each is read by one task.  This scan is
+    split, stops at the first such line, and spares the other paths that fate.
     """
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(list(paths)).where(quotes % 2 == 1).isEmpty()
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
 def _read_text(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
@@ -95,10 +94,33 @@ def read_tables(sources: Mapping[str, Callable[[], _T]]) -> dict[str, _T]:
     return opened
 
 
+def _named(name: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _present_text(column: Column) -> Column:
     return F.when(~column.isin(*NA_TOKENS), column)
 
 
+# What a CSV reader takes for numbers and truth values; Spark's casts accept more ("10D", "y").
+WHOLE = r"^[+-]?[0-9]+$"
+NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI]nf(?:inity)?)$"
+TRUTH = r"^(?:true|false|True|False|TRUE|FALSE)$"
+
+
+def _cast(text: Column, data_type: T.DataType) -> Column:
+    """The cell as the type, NULL if it is not written as such."""
+    if isinstance(data_type, T.IntegralType):
+        return F.when(text.rlike(WHOLE), text.try_cast(data_type))
+    if isinstance(data_type, T.FractionalType):
+        endless = F.when(F.lower(text).contains("inf"), F.concat(F.regexp_extract(text, "^[+-]?", 0), F.lit("Infinity")))
+        return F.when(text.rlike(NUMBER), F.coalesce(endless, text).try_cast(data_type))
+    if isinstance(data_type, T.BooleanType):
+        return F.when(text.rlike(TRUTH), text.try_cast(data_type))
+    return text.try_cast(data_type)
+
+
 def _parse(column: Column, data_type: T.DataType) -> Column:
     text = _present_text(column)
     if isinstance(data_type, T.StringType):
@@ -106,12 +128,12 @@ def _parse(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.IntegralType):
         # A column with missing cells may have been written as 3.0.
         number = F.trim(text)
-        whole = number.try_cast("double")
+        whole = _cast(number, T.DoubleType())
         return F.coalesce(
-            number.try_cast(data_type),
+            _cast(number, data_type),
             F.when(whole == F.floor(whole), whole.try_cast(data_type)),
         )
-    parsed = F.trim(text).try_cast(data_type)
+    parsed = _cast(F.trim(text), data_type)
     return nan_to_null(parsed) if isinstance(data_type, T.FractionalType) else parsed
 
 
@@ -119,7 +141,7 @@ def parse_columns(text: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast string columns to ``schema``; NA tokens and missing columns give NULL."""
     return text.select(
         *[
-            (_parse(F.col(f.name), f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(
+            (_parse(_named(f.name), f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(
                 f.name
             )
             for f in schema
@@ -132,9 +154,9 @@ def infer_types(text: DataFrame) -> DataFrame:
     tried = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
     checks = []
     for i, name in enumerate(text.columns):
-        cell = _present_text(F.col(name))
+        cell = _present_text(_named(name))
         checks.append(F.count(cell).alias(f"{i}|n"))
-        checks += [F.count(F.trim(cell).try_cast(t)).alias(f"{i}|{t}") for t in tried]
+        checks += [F.count(_cast(F.trim(cell), kind)).alias(f"{i}|{t}") for t, kind in tried.items()]
     counts = text.agg(*checks).first()
     fields = []
     for i, name in enumerate(text.columns):
