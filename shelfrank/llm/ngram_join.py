@@ -30,11 +30,11 @@ AT_LEAST, OF = 90, 100
 BAND_GROWTH = 1.5
 #: Segments kept beyond the differences possible; see ``segment_keys``.
 SPARE = 2
-BLOCK_NGRAMS = 1 << 21
+BLOCK_NGRAMS = 1 << 20
 BROADCAST_ROWS = 1_000_000
 #: N-grams of a node looked up at once, memory of a batch's lookup table, places where remaining lengths are known.
 CHUNK = 32
-LOOKUP_BYTES = 1 << 26
+LOOKUP_BYTES = 1 << 25
 MARKS = 64
 _U = np.uint64
 
@@ -219,7 +219,9 @@ class PrefixTree:
             holds[places[q][shared[q]], column] = 1
         # How many shared n-grams of each query are still to come at some places of the order.
         marks = np.unique(np.linspace(0, words, MARKS + 1).astype(np.int64)[:-1])
-        left = np.cumsum(np.add.reduceat(holds, marks, axis=0, dtype=np.int64)[::-1], axis=0)[::-1]
+        ends = [*marks[1:].tolist(), words]
+        sums = np.stack([holds[m:e].sum(axis=0, dtype=np.int64) for m, e in zip(marks.tolist(), ends, strict=True)])
+        left = np.cumsum(sums[::-1], axis=0)[::-1]
         todo = [(0, np.arange(last - first), np.zeros(last - first, dtype=np.int64))]
         while todo:
             number, at, overlap = todo.pop()
