@@ -30,7 +30,7 @@ AT_LEAST, OF = 90, 100
 BAND_GROWTH = 1.5
 #: Segments kept beyond the differences possible; see ``segment_keys``.
 SPARE = 2
-BLOCK_NGRAMS = 1 << 20
+BLOCK_NGRAMS = 1 << 21
 BROADCAST_ROWS = 1_000_000
 #: N-grams of a node looked up at once, memory of a batch's lookup table, places where remaining lengths are known.
 CHUNK = 32
@@ -328,12 +328,12 @@ def _linked_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
     if not facts["rows"]:
         return members.select(F.col("set_key").alias("a"), F.col("set_key").alias("b")).limit(0)
 
-    wanted = members.select("text_key").distinct()
+    wanted, places = members.select("text_key").distinct(), members.drop("text_key", "n")
     if facts["rows"] <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+        wanted, places = F.broadcast(wanted), F.broadcast(places)
     chosen = texts.join(wanted, "text_key", "left_semi").select("text")
     grams = chosen.mapInArrow(_materialise, "set_key long, grams binary")
-    stored = write_table(grams.join(members.drop("text_key", "n"), "set_key"), "ngram-grams")
+    stored = write_table(grams.join(places, "set_key"), "ngram-grams")
 
     shards = max(1, -(-facts["n"] // BLOCK_NGRAMS))
     edges, step = None, 0
