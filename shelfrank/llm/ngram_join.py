@@ -30,7 +30,7 @@ AT_LEAST, OF = 90, 100
 BAND_GROWTH = 1.5
 #: Segments kept beyond the differences possible; see ``segment_keys``.
 SPARE = 2
-BLOCK_NGRAMS = 1 << 21
+BLOCK_NGRAMS = 3 << 20
 BROADCAST_ROWS = 1_000_000
 #: N-grams of a node looked up at once, memory of a batch's lookup table, places where remaining lengths are known.
 CHUNK = 32
