@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.core import query, rounded
+from registry.core import NARROW, ORACLES, query, rounded
 from registry.sql import NUMERIC, with_tables
-from shelfrank.operators.clean import fill_gaps, fit_fillings
+from shelfrank.operators.clean import fill_gaps, fit_fences, fit_fillings, within_fences
+from shelfrank.operators.order_stats import quantiles
 from shelfrank.operators.profile import quartile_summary
+from shelfrank.session import small_table
 
 
 @query(
@@ -69,6 +71,13 @@ def quartiles(t):
     return rounded(quartile_summary(t.products, NUMERIC), "q1", "q3")
 
 
+# The same by narrowing histograms, the way a table with very many distinct values goes.
+@query("e1_quartiles_narrowed", ORACLES["e1_quartiles"])
+def quartiles_narrowed(t):
+    found = quantiles(t.products, NUMERIC, [0.25, 0.75], small=NARROW)
+    return rounded(small_table(t.spark, [(c, *q) for c, q in found.items()], "column_name string, q1 double, q3 double"), "q1", "q3")
+
+
 @query(
     "e2_iqr_filter",
     with_tables(
@@ -77,3 +86,9 @@ def quartiles(t):
 )
 def iqr_filter(t):
     return rounded(t.cleaned.select("row_id", "category", *NUMERIC), "current_price", "raw_price")
+
+
+@query("e2_iqr_filter_narrowed", ORACLES["e2_iqr_filter"])
+def iqr_filter_narrowed(t):
+    kept = within_fences(t.filled, fit_fences(t.filled, NUMERIC, small=NARROW))
+    return rounded(kept.select("row_id", "category", *NUMERIC), "current_price", "raw_price")

@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 from shelfrank.operators.clean import fence_report, fill_gaps, fit_fences, fit_fillings, within_fences
 from shelfrank.operators.order_stats import quantiles
 from shelfrank.operators.score import fit_scaler, with_composite_score
-from shelfrank.operators.models import naive_bayes, nearest_neighbours, random_forest
+from shelfrank.operators.models import comparison_models, naive_bayes, nearest_neighbours
 from shelfrank.operators.select import analysis_columns, feature_columns
 from shelfrank.operators.variants import BASE_FEATURES, CARRIED, DISPLAY_NAMES, LABEL_COLUMNS, Variant, attach_labels
 from shelfrank.plans.products import NUMERIC, products
 from shelfrank.plans.study import StudyResults, run_study, split_base, stored, study_importances, train_rows
 from shelfrank.session import write_table
 
+#: Labelled rows that the registered forests and machines are fitted on; all rows are predicted.
+FIT_ROWS = 2000
+#: A limit so small that order statistics take the way of a very large table.
+NARROW = 500
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -42,7 +47,7 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 
 class Tables:
-    """Tables derived from one data folder, each built once per session."""
+    """Tables derived from one data folder, each built once per session; files of a folder must not change meanwhile."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -124,16 +129,15 @@ class Tables:
     @cached_property
     def comparison(self) -> StudyResults:
         """The three-model comparison on all variants."""
-        forest = random_forest(trees=4, depth=10)
-        return run_study(self.variants, [forest, nearest_neighbours("K-Nearest Neighbors"), naive_bayes()])
+        return run_study(self.variants, comparison_models(FIT_ROWS))
 
     @cached_property
     def train_importances(self) -> DataFrame:
-        return study_importances(self.variants, trees=4, rows=train_rows, depth=10)
+        return study_importances(self.variants, trees=50, rows=train_rows, fit_rows=FIT_ROWS)
 
     @cached_property
     def overall_importances(self) -> DataFrame:
-        return study_importances(self.variants, trees=8, depth=10)
+        return study_importances(self.variants, trees=100, fit_rows=FIT_ROWS)
 
     @cached_property
     def vector_study(self) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from registry.core import query, rounded
+from registry.core import NARROW, ORACLES, query, rounded
 from registry.sql import bayes_ctes, bayes_cv_ctes, neighbour_ctes, with_tables
 from shelfrank.operators.evaluate import accuracy, cross_validation
 from shelfrank.operators.naive_bayes import cross_predict_naive_bayes, fit_naive_bayes
 from shelfrank.operators.neighbours import nearest_votes
-from shelfrank.operators.split import FOLDS, with_label_code
+from shelfrank.operators.split import FOLDS, with_label_code, with_test_flag
 from shelfrank.operators.variants import BASE_FEATURES, LABEL_COLUMNS
 
 
@@ -21,6 +21,12 @@ def split(t):
     return t.study.select("row_id", "label", "is_test")
 
 
+@query("i2_stratified_split_narrowed", ORACLES["i2_stratified_split"])
+def split_narrowed(t):
+    coded = with_label_code(t.normalised.select("row_id", "category"))
+    return with_test_flag(coded, small=NARROW).select("row_id", "label", "is_test")
+
+
 @query("i9_stratified_folds", with_tables("SELECT row_id, label, fold FROM study WHERE NOT is_test"))
 def folds(t):
     return t.train.select("row_id", "label", "fold")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfrank.operators.naive_bayes import cross_predict_naive_bayes, fit_naive_bayes
 from shelfrank.operators.neighbours import nearest_votes
-from shelfrank.operators.split import FOLDS, SEED
+from shelfrank.operators.split import DRAWS, FOLDS, SEED, draw
 
 MAX_DEPTH = 30
 MAX_BINS = 256
@@ -29,6 +29,17 @@ MAX_BINS = 256
 NODE_MEMORY_MB = 1024
 
 
+def bounded_rows(train: DataFrame, fit_rows: int | None, key: str = "row_id") -> DataFrame:
+    """About ``fit_rows`` of the labelled rows, drawn by a hash of the key; all of them without a bound.
+
+    MLlib keeps a deep forest on the driver, and it grows with the rows it is fitted on.
+    """
+    if fit_rows is None:
+        return train
+    n = train.count()
+    return train if n <= fit_rows else train.where(draw(key, SEED + 1) < int(DRAWS * fit_rows / n))
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
 
@@ -171,16 +182,16 @@ def _by_folds(predict: Predict) -> CrossPredict:
     return cross_predict
 
 
-def decision_tree(name: str = "Decision Tree", **options) -> Classifier:
+def decision_tree(name: str = "Decision Tree", fit_rows: int | None = None, **options) -> Classifier:
     def predict(train, rows, features):
-        return _predicted(fit_decision_tree(train, features, **options), rows)
+        return _predicted(fit_decision_tree(bounded_rows(train, fit_rows), features, **options), rows)
 
     return Classifier(name, predict, _by_folds(predict))
 
 
-def random_forest(name: str = "Random Forest", trees: int = 100, **options) -> Classifier:
+def random_forest(name: str = "Random Forest", trees: int = 100, fit_rows: int | None = None, **options) -> Classifier:
     def predict(train, rows, features):
-        return _predicted(fit_forest(train, features, trees=trees, **options), rows)
+        return _predicted(fit_forest(bounded_rows(train, fit_rows), features, trees=trees, **options), rows)
 
     return Classifier(name, predict, _by_folds(predict))
 
@@ -201,18 +212,24 @@ def naive_bayes(name: str = "Naive Bayes") -> Classifier:
     )
 
 
-def kernel_machine(name: str = "SVM", **options) -> Classifier:
+def kernel_machine(name: str = "SVM", fit_rows: int | None = None, **options) -> Classifier:
     def predict(train, rows, features):
-        return fit_kernel_machine(train, features, **options).transform(rows)
+        return fit_kernel_machine(bounded_rows(train, fit_rows), features, **options).transform(rows)
 
     return Classifier(name, predict, _by_folds(predict))
 
 
-def comparison_models() -> list[Classifier]:
-    """The three models of the single-split comparison."""
-    return [random_forest(trees=50), nearest_neighbours("K-Nearest Neighbors"), naive_bayes()]
+def comparison_models(fit_rows: int | None = None) -> list[Classifier]:
+    """The three models of the single-split comparison; ``fit_rows`` bounds the rows a forest is fitted on."""
+    return [random_forest(trees=50, fit_rows=fit_rows), nearest_neighbours("K-Nearest Neighbors"), naive_bayes()]
 
 
-def extended_models() -> list[Classifier]:
-    """The five models of the cross-validated comparison."""
-    return [decision_tree(), random_forest(trees=100), nearest_neighbours(), naive_bayes(), kernel_machine()]
+def extended_models(fit_rows: int | None = None) -> list[Classifier]:
+    """The five models of the cross-validated comparison; ``fit_rows`` bounds the rows MLlib's models are fitted on."""
+    return [
+        decision_tree(fit_rows=fit_rows),
+        random_forest(trees=100, fit_rows=fit_rows),
+        nearest_neighbours(),
+        naive_bayes(),
+        kernel_machine(fit_rows=fit_rows),
+    ]

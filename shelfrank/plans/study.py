@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfrank.operators.evaluate import accuracy, cross_validation
-from shelfrank.operators.models import Classifier, fit_forest, forest_importances
+from shelfrank.operators.models import Classifier, bounded_rows, fit_forest, forest_importances
 from shelfrank.operators.split import with_fold, with_label_code, with_test_flag
 from shelfrank.operators.variants import Variant
 from shelfrank.session import scratch_path, small_table, write_table
@@ -53,9 +53,10 @@ def run_study(
     cross_validate: bool = False,
     parallel: int = 4,
 ) -> StudyResults:
-    """Fit and test every model on every variant; a run that fails is logged and left out.
+    """Fit and test every model on every variant; a run that fails is logged and left out of all results.
 
-    Each run writes its predictions; all figures are then aggregates over them.
+    Each run writes its predictions to a folder of its own; all figures are then aggregates over those
+    of the runs that succeeded.
     Runs overlap, since the small jobs of one leave tasks free for another.
     """
     spark = variants[0].df.sparkSession
@@ -63,22 +64,24 @@ def run_study(
     runs = [(v, m) for v in variants for m in models]
     gappy = {v.name for v in variants if _has_gaps(v)}
 
-    def run(pair: tuple[Variant, Classifier]) -> bool:
-        variant, model = pair
+    def run(place: int) -> bool:
+        variant, model = runs[place]
         try:
             if variant.name in gappy:
                 raise ValueError("a feature has missing values")
             train = variant.df.where("NOT is_test")
-            _keep(model.predict(train, variant.df.where("is_test"), variant.features), pair, f"{root}/test")
+            _keep(model.predict(train, variant.df.where("is_test"), variant.features), f"{root}/test/{place}")
             if cross_validate:
-                _keep(model.cross_predict(train, variant.features), pair, f"{root}/folds")
+                _keep(model.cross_predict(train, variant.features), f"{root}/folds/{place}")
             return True
         except Exception as error:  # noqa: BLE001 - one failing model must not end the study
             log.warning("%s with %s skipped: %s", variant.name, model.name, error)
             return False
 
     with ThreadPoolExecutor(parallel) as pool:
-        succeeded = [pair for pair, good in zip(runs, pool.map(run, runs), strict=True) if good]
+        good = list(pool.map(run, range(len(runs))))
+    places = [i for i, done in enumerate(good) if done]
+    succeeded = [runs[i] for i in places]
     if not succeeded:
         raise RuntimeError("no model could be fitted")
 
@@ -87,8 +90,8 @@ def run_study(
     ]
     schema = "seq int, dataset string, dataset_name string, model_name string, n_features int, features array<string>"
     results = small_table(spark, rows, schema)
-    predictions = spark.read.parquet(f"{root}/test")
-    cross_predictions = spark.read.parquet(f"{root}/folds") if cross_validate else None
+    predictions = _read_runs(spark, f"{root}/test", places, succeeded)
+    cross_predictions = _read_runs(spark, f"{root}/folds", places, succeeded) if cross_validate else None
     figures = results.join(accuracy(predictions, RUN), list(RUN))
     if cross_predictions is not None:
         figures = figures.join(cross_validation(cross_predictions, RUN), list(RUN))
@@ -103,23 +106,39 @@ def _has_gaps(variant: Variant) -> bool:
     return not variant.df.where(gap).isEmpty()
 
 
-def _keep(predicted: DataFrame, pair: tuple[Variant, Classifier], path: str) -> None:
-    """Write one run to its own partition folder: jobs that overlap must not share an output folder."""
+def _keep(predicted: DataFrame, path: str) -> None:
+    """Write one run to its own folder: jobs that overlap must not share an output folder."""
     columns = [c for c in ("row_id", "label", "fold", "prediction") if c in predicted.columns]
-    predicted.select(*columns).write.parquet(f"{path}/dataset={pair[0].name}/model_name={pair[1].name}")
+    predicted.select(*columns).write.parquet(path)
+
+
+def _read_runs(spark, root: str, places: Sequence[int], pairs: Sequence[tuple[Variant, Classifier]]) -> DataFrame:
+    """The predictions of some runs, each row with the names of its run."""
+    parts = [
+        spark.read.parquet(f"{root}/{i}").withColumns({"dataset": F.lit(v.name), "model_name": F.lit(m.name)})
+        for i, (v, m) in zip(places, pairs, strict=True)
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 IMPORTANCE_SCHEMA = "dataset string, position int, feature string, importance double"
 
 
 def study_importances(
-    variants: Sequence[Variant], trees: int, rows: Callable[[DataFrame], DataFrame] = lambda df: df, **options
+    variants: Sequence[Variant],
+    trees: int,
+    rows: Callable[[DataFrame], DataFrame] = lambda df: df,
+    fit_rows: int | None = None,
+    **options,
 ) -> DataFrame:
-    """Forest importances per variant as a long table, fitted on all rows or on those ``rows`` selects."""
+    """Forest importances per variant as a long table, fitted on all rows or on those ``rows`` selects, within ``fit_rows``."""
     spark = variants[0].df.sparkSession
     found = []
     for v in variants:
-        model = fit_forest(rows(v.df), v.features, trees=trees, **options)
+        model = fit_forest(bounded_rows(rows(v.df), fit_rows), v.features, trees=trees, **options)
         found += forest_importances(model, v.features, v.name)
     return small_table(spark, found, IMPORTANCE_SCHEMA)
 
