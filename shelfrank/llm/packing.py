@@ -1,7 +1,8 @@
 """Packing documents into training sequences by lexical retrieval.
 
-Documents are dealt to shards of bounded size.  Each shard is a BM25 inverted index over token ids with
-corpus-wide statistics; every seed document asks it for unused neighbours, which fill its window.
+Documents are put in an order of their content and cut into shards of bounded size, so that neighbours meet
+whatever the size of the corpus.  Each shard is a BM25 inverted index over token ids with corpus-wide
+statistics; every seed document asks it for unused neighbours, which fill its window.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.text import slices
+from shelfrank.llm.text import mix64, slices
 from shelfrank.llm.tokens import Encoder
 from shelfrank.session import write_table
 
@@ -27,6 +28,13 @@ END_ID = 2
 VOCABULARY = 1 << 16
 SHARD_TOKENS = 1 << 20
 K1, B = 1.2, 0.75
+#: Shards that a task cuts from its range of the order, one after the other.
+TASK_SHARDS = 4
+#: Numbers of a profile; documents the topics are fitted on, about so many by a hash, never over twice as many.
+PROFILE = 512
+FIT_ROWS = 8000
+HASH_PARTS = 1 << 62
+BRANCHES, LEAST_ROWS, ROUNDS = 16, 32, 6
 
 
 @dataclass(frozen=True)
@@ -41,6 +49,76 @@ class Corpus:
         return np.log1p((self.documents - self.holding + 0.5) / (self.holding + 0.5))
 
 
+def profiles(docs: list[np.ndarray], corpus: Corpus) -> tuple[np.ndarray, np.ndarray]:
+    """Per document its BM25 weights, hashed to ``PROFILE`` numbers of length 1, and its three heaviest ids as one number."""
+    lengths = np.array([len(d) for d in docs], dtype=np.int64)
+    doc = np.repeat(np.arange(len(docs), dtype=np.int64), lengths)
+    keys, times = np.unique(doc * VOCABULARY + np.concatenate(docs), return_counts=True)
+    doc, term = np.divmod(keys, VOCABULARY)
+    norm = K1 * (1 - B + B * lengths / max(corpus.mean_length, 1e-9))
+    weight = corpus.rarity()[term] * times * (K1 + 1) / (times + norm[doc])
+    mixed = mix64(term + 1)
+    place, sign = (mixed % np.uint64(PROFILE)).astype(np.int64), np.where(mixed >> np.uint64(63), 1.0, -1.0)
+    x = np.bincount(doc * PROFILE + place, weights=weight * sign, minlength=len(docs) * PROFILE).reshape(-1, PROFILE)
+    x = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+    first = np.searchsorted(doc, np.arange(len(docs)))
+    heaviest = np.zeros(len(docs), dtype=np.int64)
+    for _ in range(3):
+        most = np.maximum.reduceat(weight, first)
+        at = np.flatnonzero(weight == most[doc])
+        at = at[np.concatenate([[True], doc[at[1:]] != doc[at[:-1]]])]  # of equal weights the smallest id
+        heaviest = heaviest * VOCABULARY + np.where(most > 0, term[at], 0)
+        weight[at] = 0.0
+    return x, heaviest
+
+
+class Topics:
+    """A tree of directions; its leaves, numbered from left to right, are topics of about one shard or less."""
+
+    def __init__(self, x: np.ndarray, shards: int, seed: int = 5) -> None:
+        self.nodes: list[tuple[np.ndarray, list[int]] | int] = []
+        self.leaves = 0
+        self._rng = np.random.default_rng(seed)
+        self._grow(x, len(x) / max(1, shards))
+
+    def _grow(self, x: np.ndarray, shard: float) -> int:
+        number = len(self.nodes)
+        self.nodes.append(0)
+        branches = min(BRANCHES, len(x) // LEAST_ROWS, int(np.ceil(len(x) / max(shard, 1e-9))))
+        centres = self._centres(x, branches) if branches > 1 else x[:0]
+        if len(centres) < 2:
+            self.nodes[number] = self.leaves
+            self.leaves += 1
+            return number
+        nearest = (x @ centres.T).argmax(axis=1)
+        self.nodes[number] = (centres, [self._grow(x[nearest == c], shard) for c in range(len(centres))])
+        return number
+
+    def _centres(self, x: np.ndarray, branches: int) -> np.ndarray:
+        """Directions of groups by rounds of spherical k-means; each is some row's nearest, none holds all rows."""
+        centres = x[self._rng.choice(len(x), size=branches, replace=False)]
+        for _ in range(ROUNDS):
+            nearest = (x @ centres.T).argmax(axis=1)
+            sums = np.stack([x[nearest == c].sum(axis=0) for c in np.unique(nearest)])
+            centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+        return centres[np.unique((x @ centres.T).argmax(axis=1))]
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each profile."""
+        out = np.zeros(len(x), dtype=np.int64)
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            number, rows = todo.pop()
+            node = self.nodes[number]
+            if isinstance(node, int):
+                out[rows] = node
+                continue
+            centres, children = node
+            nearest = (x[rows] @ centres.T).argmax(axis=1)
+            todo += [(child, rows[nearest == c]) for c, child in enumerate(children) if (nearest == c).any()]
+        return out
+
+
 class Index:
     """BM25 postings of one shard, by id."""
 
@@ -105,18 +183,16 @@ def fill_windows(docs: list[np.ndarray], index: Index, length: int = LENGTH) ->
                     queue += [(int(i), 0) for i in rest[order]]
 
 
-def _pack(key: tuple, group: pd.DataFrame, corpus: Corpus) -> pd.DataFrame:
-    group = group.sort_values("row_key", kind="stable")
-    docs = [np.frombuffer(raw, dtype=np.uint16) for raw in group["ids"]]
+def _pack(docs: list[np.ndarray], ids: list[int | None], corpus: Corpus, first: int) -> pd.DataFrame:
+    """Pieces of one shard, its windows numbered from ``first``."""
     pieces = fill_windows(docs, Index(docs, corpus))
     doc, start, size, window, offset = (np.array(c, dtype=np.int64) for c in zip(*pieces, strict=True))
     lengths = np.array([len(d) for d in docs], dtype=np.int64)
     crc = [zlib.crc32(docs[d][s : s + n].astype("<u4").tobytes()) for d, s, n, _, _ in pieces]
-    ids = group["doc_id"].to_numpy()
     return pd.DataFrame(
         {
-            "doc_id": ids[doc], "start": start, "length": size, "ids_crc32": np.array(crc, dtype=np.int64),
-            "doc_tokens": lengths[doc], "sequence_id": (int(key[0]) << 32) + window, "offset": offset,
+            "doc_id": pd.array(ids, dtype="Int64")[doc], "start": start, "length": size, "ids_crc32": np.array(crc, dtype=np.int64),
+            "doc_tokens": lengths[doc], "sequence_id": first + window, "offset": offset,
         }
     )
 
@@ -176,6 +252,25 @@ def corpus_statistics(table: DataFrame) -> Corpus:
     return Corpus(holding, n, mean or 0.0)
 
 
+def fit_topics(rows: DataFrame, corpus: Corpus, shards: int, fit_rows: int = FIT_ROWS) -> Topics:
+    """Topics of a tokenized table, as many as fill the shards, fitted on documents drawn by a hash of row and ids."""
+    if shards == 1:
+        return Topics(np.zeros((0, PROFILE), dtype=np.float32), 1)
+    share = max(1, int(HASH_PARTS * min(1.0, fit_rows / max(1, corpus.documents))))
+    drawn = rows.where(F.xxhash64("row_key", "ids").bitwiseAND(F.lit(HASH_PARTS - 1)) < share)
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                x, _ = profiles([np.frombuffer(raw, dtype=np.uint16) for raw in part.column(1).to_pylist()], corpus)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x])], names=["row_key", "profile"])
+
+    small = drawn.select("row_key", "ids").limit(2 * fit_rows).mapInArrow(profile, "row_key long, profile binary")
+    fitted = small.toPandas().sort_values("row_key")
+    return Topics(np.frombuffer(b"".join(fitted["profile"]), dtype=np.float32).reshape(-1, PROFILE), shards)
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Pieces of all documents in sequences of at most ``LENGTH`` ids.
 
@@ -183,18 +278,50 @@ def pack_documents(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TO
     doc_tokens, sequence_id and offset.  Each id of a document lies in exactly one piece; offsets of a sequence
     have no gaps; only the last sequence of a shard is not full.
 
-    Shards hold about ``shard_tokens`` ids, dealt by a hash of the row, so copies and sources spread
-    evenly; a longer document is a shard's one unbounded part.  Null and empty texts have the end id alone.
+    The order of the documents goes by topic, then by their heaviest ids, then by a hash of their ids, so copies stand
+    side by side and no topic or key is bound to one task.  Shards are runs of it of about
+    ``shard_tokens`` ids; a longer document is a shard's one unbounded part.  Null and empty texts have the end id alone.
     Repeated rows are packed each; null doc_ids stay null; an empty table gives no rows; other columns are ignored.
     """
     table = write_table(tokenize(docs, tokenizer), "token-ids")
     corpus = corpus_statistics(table)
     shards = max(1, -(-int(corpus.documents * corpus.mean_length) // shard_tokens))
     rows = table.where("row_key IS NOT NULL").select("row_key", "doc_id", "ids")
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row_key"), F.lit(shards)))
+    topics = fit_topics(rows, corpus, shards)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row_key", "doc_id", "ids", "topic", "heaviest"]
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                x, heaviest = profiles([np.frombuffer(raw, dtype=np.uint16) for raw in part.column(2).to_pylist()], corpus)
+                columns = [*part.columns, pa.array(topics.leaf(x)), pa.array(heaviest)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
+        held, ids, tokens = [], [], 0
 
-    def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        return _pack(key, group, corpus)
+        def shard() -> pa.RecordBatch:
+            nonlocal first, held, ids, tokens
+            packed = _pack(held, ids, corpus, first)
+            first, held, ids, tokens = int(packed["sequence_id"].iloc[-1]) + 1, [], [], 0
+            return pa.RecordBatch.from_pandas(packed, preserve_index=False)
 
+        for batch in batches:
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.append(np.frombuffer(raw, dtype=np.uint16))
+                ids.append(doc_id)
+                tokens += len(held[-1])
+                if tokens >= shard_tokens:
+                    yield shard()
+        if held:
+            yield shard()
+
+    order = ["topic", "heaviest", "content", "row_key"]
+    placed = rows.mapInArrow(place, "row_key long, doc_id long, ids binary, topic long, heaviest long")
+    placed = placed.withColumn("content", F.xxhash64("ids"))
+    # A corpus of one shard stays whole; else tasks cut shards from ranges of the order.
+    dealt = placed.repartitionByRange(1 if shards == 1 else -(-shards // TASK_SHARDS), *order).sortWithinPartitions(*order)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return rows.groupBy("shard").applyInPandas(pack, schema)
+    return dealt.select("doc_id", "ids").mapInArrow(pack, schema)

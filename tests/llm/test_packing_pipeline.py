@@ -73,6 +73,25 @@ def test_neighbours_share_a_window(spark):
     assert sum(len(k) for k in kinds.values()) <= len(kinds) + 6
 
 
+def test_neighbours_meet_in_many_shards(spark):
+    """Texts of 30 topics in some 40 shards, copies far apart in the table: windows hold few topics, copies share a shard."""
+    rng = np.random.default_rng(4)
+    words = np.array(["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(900)]).reshape(30, 30)
+    common = [f"common{k}" for k in range(40)]
+    rows = [(i, " ".join([*rng.choice(words[i % 30], 120), *rng.choice(common, 60)])) for i in range(1200)]
+    rows += [(i + 1200, t) for i, t in rows[:60]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = pack_documents(docs, TOKENIZER, 20_000).collect()
+    check_pieces(found, dict(rows))
+    topics, where = {}, {}
+    for r in found:
+        topics.setdefault(r["sequence_id"], set()).add(r["doc_id"] % 1200 % 30)
+        where.setdefault(r["doc_id"], set()).add(r["sequence_id"])
+    assert sum(r["length"] for r in found) > 20 * 20_000
+    assert sum(len(t) for t in topics.values()) <= 2 * len(topics)
+    assert sum(bool(where[i] & where[i + 1200]) for i in range(60)) >= 40
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns
