@@ -17,7 +17,15 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Proposals of the method beyond the base kinds.
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# An account code is found by its first four characters; where it ends is decided by length and checksum.
+IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
+IBAN_REST = range(30, 10, -1)
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "IR IS TR", 27: "BF BI CF CG CM DJ FR GA GQ GR IT KM MC MG ML MR SM SN TD TG",
+    28: "AL AZ BJ BY CI CY DO FK GT HN HU LB NE NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 LOCAL_PHONE = r"(?<![0-9+.()-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])"
 
 KINDS = ("email", "ip", "card", "phone")
@@ -106,7 +114,6 @@ CONFIRMED = {
     "ip": lambda m: m.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"),
     "card": lambda m: F.when(F.length(_digits(m)).between(14, 19), luhn_valid(_digits(m))).otherwise(F.lit(False)),
     "phone": lambda m: F.length(_digits(m)).between(10, 15),
-    "iban": lambda m: mod97_valid(F.replace(m, F.lit(" "), F.lit(""))),
     "local_phone": lambda m: F.lit(True),
 }
 #: A character without which a text has no match, and per base kind the score and the words that speak for it.
@@ -120,13 +127,35 @@ CONTEXT_WORDS = {
 }
 
 
+def _accounts(text: Column) -> Column:
+    """Account codes passing mod-97 as (s, e, m), leftmost first, none inside another.
+
+    A following word or number may look like a part of the code, so every end where a word ends is tried:
+    first that of the country's length, then the longest.
+    """
+    ends = [(f"(?:{names.replace(' ', '|')})", n - 4) for n, names in IBAN_COUNTRIES.items()]
+    ends += [("[A-Z]{2}", n) for n in IBAN_REST]
+    patterns = [rf"^{start}[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])" for start, n in ends]
+
+    def whole(x):
+        rest = F.substring(text, x["s"] + 1, F.lit(6 + 2 * IBAN_REST[0]))
+        tried = F.array(*[F.regexp_extract(rest, p, 0) for p in patterns])
+        code = F.get(F.filter(tried, lambda c: mod97_valid(F.replace(c, F.lit(" "), F.lit("")))), F.lit(0))
+        return F.struct(x["s"].alias("s"), (x["s"] + F.length(code)).alias("e"), code.alias("m"))
+
+    found = F.filter(F.transform(_matches(text, IBAN), whole), lambda x: x["m"].isNotNull())
+    empty = F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
+    free = lambda out, x: (F.size(out) == 0) | (F.element_at(out, -1)["e"] <= x["s"])
+    return F.aggregate(found, empty, lambda out, x: F.when(free(out, x), F.concat(out, F.array(x))).otherwise(out))
+
+
 def _spans(text: Column, name: str, rank: int) -> Column:
     """Confirmed spans of one pattern as (start, rank, end, kind, score, base)."""
     if name in BASE:
         pattern, kind, words, score = BASE[name], name, CONTEXT_WORDS[name], SCORES[name]
     else:
         pattern, kind, words, score = PROPOSED[name]
-    found = F.filter(_matches(text, pattern), lambda x: CONFIRMED[name](x["m"]))
+    found = _accounts(text) if name == "iban" else F.filter(_matches(text, pattern), lambda x: CONFIRMED[name](x["m"]))
 
     def span(x):
         low = F.greatest(x["s"] - CONTEXT, F.lit(0))

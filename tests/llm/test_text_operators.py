@@ -65,6 +65,21 @@ def test_method_adds_spans(spark):
     assert more[11] == []
 
 
+IBANS = [
+    ("IBAN DE89 3704 0044 0532 0130 00 Die Bank", ["DE89 3704 0044 0532 0130 00"]), ("Konto DE89370400440532013000 24 Uhr", ["DE89370400440532013000"]),
+    ("IBAN DE89 3704 0044 0532 0130 00 und", ["DE89 3704 0044 0532 0130 00"]), ("Konto DE89370400440532013000X", []),
+    ("bank DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 A1", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+    ("konto É DE88370400440532013000 24 Uhr", []), ("bank NO93 8601 1117 947 OG 5 A 7 B 9 C 1 D 3 E 5 F 7 G 9 H", ["NO93 8601 1117 947"]),
+]
+
+
+def test_account_codes_before_words_and_numbers(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(IBANS)], "i int, text string")
+    for r in find_pii(docs).collect():
+        text, codes = IBANS[r["i"]]
+        assert [text[s["start"] : s["end"]] for s in r["pii"] if s["kind"] == "iban"] == codes, text
+
+
 def test_masks(spark):
     docs = spark.createDataFrame([(1, "é a@b.cd, 10.0.0.1!", 3, "x"), (2, None, None, "x"), (3, "none", 4, "x")], "row int, text string, n_chars long, done string")
     masked = mask_pii(docs)
