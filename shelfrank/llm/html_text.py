@@ -42,8 +42,10 @@ ASIDE_WORDS = re.compile(
     r"|complementary|contentinfo|navigation)(?:$|[\s_-])",
     re.I,
 )
-MARKED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=/])|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+#: A word that only tells whether the page has such a place, as in with-sidebar.
+TELLS = re.compile(r"(?:^|[_-])(?:with|without|has|have|no|not|non)[_-]", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++)))?+")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 # Function words of the languages expected.
 STOP_WORDS = frozenset(
@@ -74,21 +76,31 @@ class Block:
     text: str = ""
 
 
-def _is_aside(tag: str, attributes: str, inside_main: bool) -> bool:
+#: How sure a place is no part of the text: a marked one may yet hold the article, an aside one may not.
+OPEN, MARKED, ASIDE = 0, 1, 2
+
+
+def _place(tag: str, attributes: str, inside_main: bool) -> int:
     if tag in ASIDE_TAGS:
-        return not (inside_main and tag == "header")
-    if tag in MAIN_TAGS or tag in ("html", "body"):
-        return False
-    return bool(attributes) and (
-        any(ASIDE_WORDS.search(a or b or c) for a, b, c in MARKED.findall(attributes)) or bool(HIDDEN.search(attributes))
-    )
+        return OPEN if inside_main and tag == "header" else ASIDE
+    if tag in ("html", "body") or not attributes:
+        return OPEN
+    values: dict[str, str] = {}
+    for name, *value in ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), "".join(value))
+    classes = values.get("class", "")
+    hidden = "hidden" in values or "hidden" in classes.lower().split() or values.get("aria-hidden", "").strip().lower() == "true"
+    if tag not in MAIN_TAGS and (hidden or NO_DISPLAY.search(values.get("style", ""))):
+        return ASIDE
+    names = f"{classes} {values.get('id', '')} {values.get('role', '')}".split()
+    return MARKED if any(ASIDE_WORDS.search(n) and not TELLS.search(n) for n in names) else OPEN
 
 
 def blocks_of(page: str) -> list[Block]:
     """Blocks with text in page order; ``region`` numbers the article or main element they stand in, 0 outside."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []
-    aside, region, regions, links, heading = False, 0, 0, 0, False
+    stack: list[tuple[str, int, int]] = []
+    aside, region, regions, links, heading = OPEN, 0, 0, 0, False
     block = Block()
 
     def close() -> None:
@@ -97,7 +109,7 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             block.text = text
             found.append(block)
-        block = Block(aside=aside, region=region, heading=heading)
+        block = Block(aside=aside > OPEN, region=region, heading=heading)
 
     for token in TOKEN.finditer(page):
         kind = token.lastgroup
@@ -133,10 +145,12 @@ def blocks_of(page: str) -> list[Block]:
                         _, aside, region = stack[level]
                         del stack[level:]
                 stack.append((tag, aside, region))
-                if tag in MAIN_TAGS and not aside and not region:
+                place = _place(tag, attributes, bool(region))
+                if tag not in MAIN_TAGS:
+                    aside = max(aside, place)
+                elif not region and (aside == OPEN or (aside == MARKED and place == OPEN)):
                     regions += 1
-                    region = regions
-                aside = aside or _is_aside(tag, attributes, bool(region))
+                    aside, region = OPEN, regions
                 heading = heading or tag in HEADINGS
         if tag in BLOCK_TAGS:
             links = 0 if tag != "a" and not token.group("close") else links

@@ -184,6 +184,26 @@ def test_pages(number):
     assert main_text(page) == text
 
 
+PROSE = "The cat is on the mat and it was with the dog in the house."
+PLACES = [
+    (f'<div class="page with-sidebar"><article><p>{PROSE}</p></article></div>', PROSE),
+    (f'<div id="post" class="has-comments no-ads"><article><p>{PROSE}</p></article></div>', PROSE),
+    (f'<div class="header sidebar"><main><p>{PROSE}</p></main></div>', PROSE),
+    (f'<article><div title="a hidden gem" data-class="ad"><p>{PROSE}</p></div></article>', PROSE),
+    (f"<article><div hidden><p>{PROSE}</p></div><div class='x hidden'><p>{PROSE}</p></div><p>one</p></article>", "one"),
+    (f"<article><div style='display: none'><p>{PROSE}</p></div><div aria-hidden=true><p>{PROSE}</p></div><p>one</p></article>", "one"),
+    (f"<nav><article><p>{PROSE}</p></article></nav><div hidden><article><p>{PROSE}</p></article></div>", ""),
+    (f"<article><p>one</p><div class=comments><article><p>{PROSE}</p></article></div></article>", "one"),
+    (f"<section id=comments><article class=comment><p>{PROSE}</p></article></section>", ""),
+]
+
+
+@pytest.mark.parametrize("number", range(len(PLACES)))
+def test_marked_places(number):
+    page, text = PLACES[number]
+    assert main_text(page) == text
+
+
 def test_extract_text(spark):
     rows = [(i, None if i % 2 else "u", page, "x") for i, (page, _) in enumerate(PAGES)] + [(None, None, None, None), (0, "u", PAGES[0][0], "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
