@@ -8,17 +8,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfrank.llm.text import LOWER, mix64, slices
+from shelfrank.llm.text import LOWER, draw_hash, draw_limit, mix64, slices
 
 #: Buckets that hashed three- and four-byte n-grams share.
 DIMENSIONS = 4096
 #: Labelled rows that the classifiers are fitted on, all languages together.  Documented bound of the fit.
 FIT_ROWS = 3000
-HASH_PARTS = 1_000_000
 RIDGE = 0.3
 SHARPNESS = 2.0
 AMBIGUOUS_BELOW = 0.35
@@ -121,17 +120,19 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_language_model(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel | None:
     """Fit on about ``fit_rows`` rows of (doc_id, text, lang), as many of each language, never over twice as many.
 
-    Rows are drawn by a hash of doc_id.  None if no row has text and language.
+    Rows are drawn by a hash of doc_id and text, equal rows once.  None if no row has text and language.
     """
-    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", draw_hash("doc_id", "text").alias("draw"))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
     if not counts:
         return None
-    # Each language gives a share of the hash range, so no language's rows meet in one task.
-    share = {c: HASH_PARTS * fit_rows // (len(counts) * n) + 1 for c, n in counts.items()}
-    bound = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])[F.col("lang")]
-    chosen = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(HASH_PARTS)) < bound)
-    fitted = chosen.select("lang", "text").limit(2 * fit_rows).mapInArrow(_profile, "lang string, profile binary").toPandas()
+    # Each language gives a share of the hash range, so only what is drawn of it meets in one task.
+    limits = {c: draw_limit(fit_rows / (len(counts) * n)) for c, n in counts.items()}
+    limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("lang")]
+    chosen = rows.where(F.col("draw") <= limit).dropDuplicates(["lang", "draw"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    chosen = chosen.withColumn("place", place).where(F.col("place") <= max(1, 2 * fit_rows // len(counts)))
+    fitted = chosen.select("lang", "text").mapInArrow(_profile, "lang string, profile binary").toPandas()
     profiles = np.frombuffer(b"".join(fitted["profile"]), dtype=np.float32).reshape(-1, DIMENSIONS)
     number = {name: i for i, name in enumerate(sorted(set(fitted["lang"])))}
     return fit_bits(profiles, fitted["lang"].map(number).to_numpy(), list(number))

@@ -9,17 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.text import SPACE, SpanHasher, mix64, slices, word_spans
+from shelfrank.llm.text import SPACE, SpanHasher, draw_hash, draw_limit, mix64, slices, word_spans
 from shelfrank.session import write_table
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "n_upper", "n_digits", "n_marks")
-STATS_SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in STATS)
+STATS_SCHEMA = "doc_id long, draw long, " + ", ".join(f"{c} long" for c in STATS)
 
-#: Rows of which the forest is grown, about so many by a hash of doc_id, never over twice as many.
+#: Rows of which the forest is grown, about so many by a hash of doc_id and text, never over twice as many.
 FIT_ROWS = 10_000
-HASH_PARTS = 1_000_000
 TREES = 100
 TREE_ROWS = 256
 SCORE_STEPS = 4096
@@ -93,16 +92,17 @@ def slice_statistics(data: np.ndarray, offsets: np.ndarray, hasher: SpanHasher)
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = SpanHasher()
     for batch in batches:
-        ids = batch.column(0)
-        for low, high, data, offsets in slices(batch.column(1)):
+        for low, high, data, offsets in slices(batch.column(2)):
             stats = slice_statistics(data, offsets, hasher)
-            columns = [ids.slice(low, high - low), *(pa.array(stats[c].astype(np.int64)) for c in STATS)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *STATS])
+            keys = [batch.column(i).slice(low, high - low) for i in range(2)]
+            columns = [*keys, *(pa.array(stats[c].astype(np.int64)) for c in STATS)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "draw", *STATS])
 
 
 def rule_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the rule statistics of every whole text; null and empty texts have zeros."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_statistics, STATS_SCHEMA)
+    """doc_id, a hash to draw by and the rule statistics of every whole text; null and empty texts have zeros."""
+    rows = docs.select(F.col("doc_id").cast("long"), draw_hash("doc_id", "text").alias("draw"), F.col("text").cast("string"))
+    return rows.mapInArrow(_statistics, STATS_SCHEMA)
 
 
 def features(stats: dict[str, np.ndarray]) -> np.ndarray:
@@ -178,8 +178,8 @@ def anomaly(forest: list[tuple[np.ndarray, ...]], x: np.ndarray, rows: int) -> n
 def judge_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Statistics, base verdict, anomaly score and ``kept`` of every document.
 
-    The forest grows on about ``fit_rows`` documents, drawn by a hash of doc_id among those that pass
-    the base rules.  The threshold comes from all labelled rows: it is the one that
+    The forest grows on about ``fit_rows`` documents, drawn by a hash of doc_id and text among those that pass
+    the base rules, equal rows once.  The threshold comes from all labelled rows: it is the one that
     misjudges the fewest of them.  Without labels, or where no threshold beats keeping
     everything, the base rules alone decide.
 
@@ -191,11 +191,10 @@ def judge_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     stats = stats.withColumn("base_failed", failed)
     passing = stats.where("NOT base_failed")
     # A share of the hash range instead of the lowest hashes: no task sends more than its share.
-    share = int(HASH_PARTS * min(1.0, fit_rows / max(1, passing.count())))
-    drawn = passing.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASH_PARTS)) < share)
-    sample = drawn.limit(2 * fit_rows).toPandas().sort_values(["doc_id", *STATS])
+    drawn = passing.where(F.col("draw") <= draw_limit(fit_rows / max(1, passing.count())))
+    sample = drawn.dropDuplicates(["doc_id", "draw"]).limit(2 * fit_rows).toPandas().sort_values(["doc_id", "draw"])
     if not len(sample):
-        return stats.withColumns({"score": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
+        return stats.drop("draw").withColumns({"score": F.lit(None).cast("double"), "kept": ~F.col("base_failed")})
     x = features({c: sample[c].to_numpy() for c in STATS})
     forest = grow_forest(x)
     tree_rows = min(TREE_ROWS, len(x))
@@ -214,7 +213,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     # At most SCORE_STEPS + 1 rows, whatever the number of labels.
     table = met.groupBy(step.alias("step")).agg(F.sum("quality").alias("good"), F.count(F.lit(1)).alias("n")).toPandas()
     limit = choose_threshold(table["step"].to_numpy(), table["good"].to_numpy(), table["n"].to_numpy())
-    return scored.withColumn("kept", ~F.col("base_failed") & (step < limit))
+    return scored.drop("draw").withColumn("kept", ~F.col("base_failed") & (step < limit))
 
 
 def choose_threshold(step: np.ndarray, good: np.ndarray, n: np.ndarray) -> int:

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 21
 SLICE_TEXTS = 1024
@@ -94,3 +96,17 @@ class SpanHasher:
             weighted *= self.up[:size]
             np.cumsum(weighted, out=sums[1:])
             return mix64((sums[end] - sums[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
+#: One more than the largest hash of a draw.
+DRAW_RANGE = 1 << 63
+
+
+def draw_limit(share: float) -> int:
+    """The largest hash that a share of the rows stays within; the smallest share still has a hash."""
+    return max(1, int(DRAW_RANGE * min(1.0, share))) - 1
+
+
+def draw_hash(*columns: str | Column) -> Column:
+    """A hash of 63 bits by which rows are drawn."""
+    return F.xxhash64(*columns).bitwiseAND(F.lit(DRAW_RANGE - 1))

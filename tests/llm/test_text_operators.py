@@ -10,6 +10,7 @@ from shelfrank.llm import language
 from shelfrank.llm.html_text import extract_text, main_text
 from shelfrank.llm.language import codewords, identify_languages
 from shelfrank.llm.pii import find_pii, mask_pii
+from shelfrank.llm.text import draw_limit
 from shelfrank.llm.quality import STATS, choose_threshold, judge_documents, rule_statistics
 
 ODD = [None, "", " \n\t ", "a", "é\n\n\né\né", "x " * 30000 + "end", "tie tie tie tie", "日本 語 日本 語 日本 語"]
@@ -143,6 +144,21 @@ def test_languages_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_every_language_is_drawn_without_ids(spark):
+    rows = [(None, f"{word} {i} {word * 3}", lang) for lang, word in (("aa", "plain"), ("bb", "wörter")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    assert language.fit_language_model(docs, 20).languages == ["aa", "bb"]
+
+
+def test_draws_spread_rows_without_ids_and_are_never_empty(spark):
+    texts = [(None if i % 3 else i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(3000)]
+    stats = rule_statistics(spark.createDataFrame(texts, "doc_id long, text string"))
+    drawn = [r["doc_id"] for r in stats.where(stats["draw"] <= draw_limit(0.1)).collect()]
+    assert 200 < len(drawn) < 400
+    assert 0.5 < drawn.count(None) / len(drawn) < 0.8
+    assert draw_limit(1e4 / 5e10) > 1 << 40 and draw_limit(0.0) == 0 and draw_limit(2.0) == (1 << 63) - 1
+
+
 def test_languages_of_odd_texts(spark):
     rows = [(i, t, "aa" if i % 2 else "bb") for i, t in enumerate([*ODD, "123 !", "plain words", "andere wörter"] * 3)]
     docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, lang string, lang_pred string")
