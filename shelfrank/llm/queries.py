@@ -16,6 +16,8 @@ from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.quality import judge_documents
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
 from shelfrank.llm.sharding import document_keys, shard_rows
+from shelfrank.llm.token_files import read_token_files, write_token_files
+from shelfrank.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -153,6 +155,14 @@ def op10(spark, folder):
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op13_token_files")
+def op13(spark, folder):
+    docs, path = table(spark, folder, "documents"), scratch_path(spark, "token-files")
+    write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"), path)
+    found = read_token_files(spark, path, docs)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
