@@ -15,6 +15,7 @@ from shelfrank.llm.packing import pack_documents
 from shelfrank.llm.pii import KINDS, find_pii
 from shelfrank.llm.quality import judge_documents
 from shelfrank.llm.registry import ORACLES, QUERIES, query, table
+from shelfrank.llm.repair import damage_turns, repair_conversations, turns_digest
 from shelfrank.llm.sharding import document_keys, shard_rows
 from shelfrank.llm.token_files import read_token_files, write_token_files
 from shelfrank.session import scratch_path
@@ -155,6 +156,95 @@ def op10(spark, folder):
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _dearer(letter: str, cost: str, rest: str) -> str:
+    """A cost of eight digits with its edits, after one more edit."""
+    return f"lpad(CAST(CAST({rest}[1:8] AS BIGINT) + {cost} AS VARCHAR), 8, '0') || '{letter}' || {rest}[9:]"
+
+
+def _choices(state: int, due: int, kept: dict[str, int]) -> str:
+    keep = " ".join(f"WHEN '{i}' THEN {_dearer('K', 'more', f'h{to}')}" for i, to in kept.items())
+    return f"""least({_dearer('D', '4', f'h{state}')}, CASE WHEN gone THEN NULL ELSE {_dearer('R', '3 + more', f'h{due}')} END,
+                CASE WHEN gone THEN NULL ELSE CASE initial {keep or "WHEN '' THEN NULL"} END END) AS p{state}"""
+
+
+#: States 0 to 3: nothing yet, after a system, user, assistant turn; the state due next; what an initial kept leads to.
+_OP11_DUE = (2, 2, 3, 2)
+_OP11_KEPT = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+OP11_SQL = rf"""
+WITH RECURSIVE bit AS (
+    SELECT i, i AS v, 0 AS n FROM range(256) AS r(i) UNION ALL SELECT i, xor(v >> 1, 3988292384 * (v & 1)), n + 1 FROM bit WHERE n < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM bit WHERE n = 8),
+dice AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, b: xor(a >> 8, t[CAST((xor(a, b) & 255) + 1 AS BIGINT)]))) % 20 AS d FROM conversations, crc),
+said AS (
+    SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM dice JOIN (VALUES (1), (2)) AS c(copy) ON d <> 0 AND (copy = 1 OR d = 3)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+        count(*) OVER (PARTITION BY conv_id) AS n FROM said),
+marked AS (
+    SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
+        CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+            WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+    FROM placed),
+turns AS (
+    SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS more,
+        lead(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS following FROM marked),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM turns GROUP BY conv_id),
+back AS (
+    SELECT conv_id, n + 1 AS pos, '00000000' AS h0, '00000006II' AS h1, '00000003I' AS h2, '00000000' AS h3 FROM turns WHERE pos = 1
+    UNION ALL
+    SELECT conv_id, pos, {", ".join(f"least(p{s}, {_dearer('I', '3', f'o{d}')})" for s, d in enumerate(_OP11_DUE))} FROM (
+        SELECT *, {", ".join(f"least(p{s}, {_dearer('I', '3', f'p{d}')}) AS o{s}" for s, d in enumerate(_OP11_DUE))} FROM (
+            SELECT t.conv_id, t.pos, {", ".join(_choices(s, d, k) for s, (d, k) in enumerate(zip(_OP11_DUE, _OP11_KEPT, strict=True)))}
+            FROM back JOIN turns t ON t.conv_id IS NOT DISTINCT FROM back.conv_id AND t.pos = back.pos - 1))),
+best AS (SELECT conv_id, CAST(h0[1:8] AS BIGINT) AS cost, h0[9:] AS audit FROM back WHERE pos = 1),
+forth AS (
+    SELECT conv_id, audit, 0 AS done, 0 AS pos, 0 AS state, CAST([] AS VARCHAR[]) AS lines FROM best
+    UNION ALL
+    SELECT conv_id, audit, done, pos, state, CASE edit WHEN 'D' THEN lines
+        ELSE list_append(lines, CASE edit WHEN 'K' THEN role WHEN 'I' THEN CASE state WHEN 2 THEN 'user' ELSE 'assistant' END
+            ELSE CASE state WHEN 2 THEN 'user' ELSE 'assistant' END END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END) END
+    FROM (
+        SELECT e.conv_id, e.audit, e.done, e.pos, e.edit, e.lines, t.role, t.text, CASE e.edit WHEN 'D' THEN e.state
+            WHEN 'K' THEN CASE t.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END ELSE CASE e.state WHEN 2 THEN 3 ELSE 2 END END AS state
+        FROM (
+            SELECT conv_id, audit, done + 1 AS done, audit[done + 1] AS edit, pos + CASE audit[done + 1] WHEN 'I' THEN 0 ELSE 1 END AS pos, state, lines
+            FROM forth WHERE done < length(audit)) AS e
+        LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM e.conv_id AND t.pos = e.pos)),
+repaired AS (SELECT conv_id, cost, audit, sha256(array_to_string(lines, chr(10))) AS sha FROM forth JOIN best USING (conv_id, audit) WHERE done = length(audit))
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+@query("op11_repair", OP11_SQL)
+def op11(spark, folder):
+    told = table(spark, folder, "conversations")
+    repaired = repair_conversations(damage_turns(told))
+    every = told.select("conv_id").distinct()
+    found = repaired.conversations.withColumnRenamed("conv_id", "found_id")
+    digests = turns_digest(repaired.turns).withColumnRenamed("conv_id", "digest_id")
+    rows = every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    rows = rows.join(digests, F.col("conv_id").eqNullSafe(F.col("digest_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit(""), 256)
+    return rows.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", nothing).alias("repaired_sha256")
+    )
+
+
 @query("op13_token_files")
 def op13(spark, folder):
     docs, path = table(spark, folder, "documents"), scratch_path(spark, "token-files")
