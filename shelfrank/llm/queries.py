@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from shelfrank.llm.alignment import align_tokens
 from shelfrank.llm.chat import format_chats, loss_text, read_turns, text_part
 from shelfrank.llm.html_text import extract_text
 from shelfrank.llm.language import identify_languages
@@ -188,9 +189,12 @@ placed AS (
         count(*) OVER (PARTITION BY conv_id) AS n FROM said),
 marked AS (
     SELECT *, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial,
-        CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+        CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
             WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
-            WHEN regexp_extract(text, '([^ 	-])[ 	-]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            WHEN regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
     FROM placed),
 turns AS (
     SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS more,
@@ -245,6 +249,12 @@ def op11(spark, folder):
     )
 
 
+@query("op12_alignment")
+def op12(spark, folder):
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align_tokens(table(spark, folder, "documents"), *paths).withColumnRenamed("groups", "groups_sha256")
+
+
 @query("op13_token_files")
 def op13(spark, folder):
     docs, path = table(spark, folder, "documents"), scratch_path(spark, "token-files")
