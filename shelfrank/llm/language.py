@@ -19,6 +19,10 @@ DIMENSIONS = 4096
 #: Labelled rows that the classifiers are fitted on, all languages together.  Documented bound of the fit.
 FIT_ROWS = 3000
 RIDGE = 0.3
+#: Conjugate gradients end at this share of the first residue, or after so many rounds.
+PRECISION, ROUNDS = 1e-4, 300
+#: More values of ``lang`` than this are taken for a mistake in the table.
+MOST_LANGUAGES = 500
 SHARPNESS = 2.0
 AMBIGUOUS_BELOW = 0.35
 UNKNOWN = "und"
@@ -94,20 +98,43 @@ class LanguageModel:
         return losses.argmin(axis=1), (power.max(axis=1) / power.sum(axis=1)).astype(float)
 
 
-def fit_bits(profiles: np.ndarray, target: np.ndarray, languages: Sequence[str]) -> LanguageModel:
-    """One ridge classifier per bit, all from one factorisation; rows of each language weigh the same in total."""
+def fit_bits(blocks: Sequence[np.ndarray], target: np.ndarray, languages: Sequence[str]) -> LanguageModel:
+    """One ridge classifier per bit; rows of each language weigh the same in total.
+
+    The profiles come in blocks of rows and are only read: conjugate gradients solve the normal equations of all bits
+    at once, so beside the profiles nothing has the size of the fit.
+    """
     code = codewords(len(languages))
-    wanted = code[target]
     share = np.bincount(target, minlength=len(languages)).astype(float)
-    weight = np.sqrt(len(target) / len(languages) / share[target])
-    x = np.hstack([profiles, np.ones((len(profiles), 1))]).astype(float) * weight[:, None]
-    kernel = x @ x.T
-    kernel[np.diag_indices_from(kernel)] += RIDGE
-    solved = x.T @ np.linalg.solve(kernel, wanted * weight[:, None])
-    weights, bias = solved[:-1].astype(np.float32), solved[-1]
-    right = (profiles @ weights + bias) * wanted > 0
+    weight = len(target) / len(languages) / share[target]
+    ends = np.cumsum([len(b) for b in blocks])
+    parts = [(x, slice(end - len(x), end)) for x, end in zip(blocks, ends, strict=True)]
+
+    def gathered(of_rows: np.ndarray) -> np.ndarray:
+        """The profiles' weighted sum, and in the last row that of the constant feature."""
+        of_rows = of_rows * weight[:, None]
+        total = sum((x.T @ of_rows[at].astype(np.float32) for x, at in parts), np.zeros((DIMENSIONS, of_rows.shape[1])))
+        return np.vstack([total, of_rows.sum(axis=0)])
+
+    def margins(solution: np.ndarray) -> np.ndarray:
+        weights = solution[:-1].astype(np.float32)
+        return np.concatenate([x @ weights for x, _ in parts]) + solution[-1]
+
+    wanted = code[target]
+    left = gathered(wanted)
+    solution, way, size = np.zeros_like(left), left, (left**2).sum(axis=0)
+    enough = np.maximum(size, 1e-300) * PRECISION**2
+    for _ in range(ROUNDS):
+        if (size <= enough).all():
+            break
+        bent = gathered(margins(way)) + RIDGE * way
+        step = size / np.maximum((way * bent).sum(axis=0), 1e-300)
+        solution, left = solution + step * way, left - step * bent
+        before, size = size, (left**2).sum(axis=0)
+        way = left + size / np.maximum(before, 1e-300) * way
+    right = margins(solution) * wanted > 0
     trust = np.stack([right[target == c].mean(axis=0) for c in range(len(languages))]) + 1e-3
-    return LanguageModel(languages, code, weights, bias, trust / trust.sum(axis=1, keepdims=True))
+    return LanguageModel(languages, code, solution[:-1].astype(np.float32), solution[-1], trust / trust.sum(axis=1, keepdims=True))
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,25 +144,34 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), rows], names=["lang", "profile"])
 
 
+def _block(profiles: pa.Array) -> np.ndarray:
+    first = profiles.offset * DIMENSIONS
+    return np.frombuffer(profiles.buffers()[2], dtype=np.float32)[first : first + len(profiles) * DIMENSIONS].reshape(-1, DIMENSIONS)
+
+
 def fit_language_model(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel | None:
     """Fit on about ``fit_rows`` rows of (doc_id, text, lang), as many of each language, never over twice as many.
 
     Rows are drawn by a hash of doc_id and text, equal rows once.  None if no row has text and language.
     """
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", draw_hash("doc_id", "text").alias("draw"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
     if not counts:
         return None
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} languages")
     # Each language gives a share of the hash range, so only what is drawn of it meets in one task.
     limits = {c: draw_limit(fit_rows / (len(counts) * n)) for c, n in counts.items()}
     limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("lang")]
     chosen = rows.where(F.col("draw") <= limit).dropDuplicates(["lang", "draw"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     chosen = chosen.withColumn("place", place).where(F.col("place") <= max(1, 2 * fit_rows // len(counts)))
-    fitted = chosen.select("lang", "text").mapInArrow(_profile, "lang string, profile binary").toPandas()
-    profiles = np.frombuffer(b"".join(fitted["profile"]), dtype=np.float32).reshape(-1, DIMENSIONS)
-    number = {name: i for i, name in enumerate(sorted(set(fitted["lang"])))}
-    return fit_bits(profiles, fitted["lang"].map(number).to_numpy(), list(number))
+    fitted = chosen.select("lang", "text").mapInArrow(_profile, "lang string, profile binary").toArrow()
+    languages = sorted(set(fitted.column("lang").to_pylist()))
+    target = np.array([languages.index(c) for c in fitted.column("lang").to_pylist()], dtype=np.int64)
+    # The rows of a chunk lie end to end in its buffer, so the profiles are never copied.
+    blocks = [_block(chunk) for chunk in fitted.column("profile").chunks]
+    return fit_bits(blocks, target, languages)
 
 
 def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:

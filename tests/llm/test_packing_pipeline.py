@@ -111,6 +111,13 @@ def test_stages(spark):
     assert {r["doc_id"] for r in packed} == kept
 
 
+def test_the_language_stage_changes_no_other_column(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr("*", "7.0 AS score", "'x' AS lang_pred", "1 AS ambiguous", "2 AS `row`")
+    kept = corpus_pipeline.identify_language(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    assert {tuple(r) for r in kept.select("score", "lang_pred", "ambiguous", "row").collect()} == {(7.0, "x", 1, 2)}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_with_sql(spark, name):
     con = duckdb.connect()
