@@ -292,6 +292,11 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     copies are never paired.  Null doc_ids take their component's id, null if it has no other; repeated rows
     are repeated.  An empty table gives no rows; columns other than doc_id and text are ignored.
     """
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """The rows of ``jaccard_groups`` with the hash of their text, ``text_key``."""
     texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
     schema = "doc_id long, text_key long, n_shingles long, set_key long, segments array<long>"
     described = write_table(texts.mapInArrow(_describe, schema), "ngram-sets")
@@ -312,9 +317,9 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     named = named.withColumn("component", F.coalesce("component", "set_key")).select("set_key", "component", "least")
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(smallest, "component").select(F.col("set_key").alias("of_set"), "component_id")
-    out = described.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("of_set"), "left")
+    out = described.select("doc_id", "text_key", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("of_set"), "left")
     group = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", group.alias("component_id"))
+    return out.select("doc_id", "text_key", "n_shingles", group.alias("component_id"))
 
 
 def _linked_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
@@ -367,8 +372,11 @@ def _linked_sets(texts: DataFrame, members: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents that are their component's smallest doc_id, all columns kept.
 
-    Rows without a doc_id cannot be told apart and stay; so do equal rows of the same doc_id.
+    Rows are told apart by doc_id and text, so of several rows of one doc_id only those go that are copies of a smaller
+    one.  A row without a doc_id goes if its component has one.  Rows of equal doc_id and text stay together, as do
+    the rows of a component without any doc_id.  Null, empty and blank texts stay; an empty table gives no rows.
     """
-    groups = jaccard_groups(docs)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    copies = _grouped(docs).where("component_id IS NOT NULL AND NOT doc_id <=> component_id")
+    gone = copies.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"].cast("string")) == gone["gone_text"])
+    return docs.join(gone, same, "left_anti")

@@ -128,3 +128,15 @@ def test_components(spark, edges):
             for n in merged:
                 groups[n] = merged
     assert found == {n: min(g) for n, g in groups.items()}
+
+
+def test_copies_go_by_row(spark):
+    """Of two texts under one doc_id only the copy of a smaller one goes."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (5, a), (5, b), (None, a), (None, None), (7, ""), (None, "a text of its own"), (9, b), (9, b)]
+    docs = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, gone_id int")
+    kept = drop_copies(docs)
+    assert kept.columns == docs.columns
+    told = [(1, a), (5, b), (None, None), (7, ""), (None, "a text of its own")]
+    assert sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=str) == sorted(told, key=str)
+    assert drop_copies(docs.limit(0)).count() == 0
