@@ -8,6 +8,7 @@ statistics; every seed document asks it for unused neighbours, which fill its wi
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.text import mix64, slices
+from shelfrank.llm.text import draw_hash, draw_limit, mix64, slices
 from shelfrank.llm.tokens import Encoder
 from shelfrank.session import write_table
 
@@ -34,6 +35,8 @@ TASK_SHARDS = 4
 PROFILE = 512
 FIT_ROWS = 8000
 HASH_PARTS = 1 << 62
+#: Rows drawn per part to find where the parts begin.
+PART_ROWS = 100
 BRANCHES, LEAST_ROWS, ROUNDS = 16, 32, 6
 
 
@@ -271,6 +274,42 @@ def fit_topics(rows: DataFrame, corpus: Corpus, shards: int, fit_rows: int = FIT
     return Topics(np.frombuffer(b"".join(fitted["profile"]), dtype=np.float32).reshape(-1, PROFILE), shards)
 
 
+_PLACED = "row_key long, doc_id long, ids binary, content long, topic long, heaviest long"
+
+
+def _placed(batch: pa.RecordBatch, corpus: Corpus, topics: Topics) -> Iterator[pa.RecordBatch]:
+    """Rows (row_key, doc_id, ids, content) with their topic and heaviest ids."""
+    for low in range(0, batch.num_rows, 256):
+        part = batch.slice(low, 256)
+        x, heaviest = profiles([np.frombuffer(raw, dtype=np.uint16) for raw in part.column(2).to_pylist()], corpus)
+        names = ["row_key", "doc_id", "ids", "content", "topic", "heaviest"]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(topics.leaf(x)), pa.array(heaviest)], names=names)
+
+
+def _bounds(rows: DataFrame, corpus: Corpus, topics: Topics, order: list[str], parts: int) -> list[tuple]:
+    """Places of the order that part it into about as many ids each, from some rows per part drawn by a hash.
+
+    A range partitioner does the same, but would work out every document's place twice.
+    """
+    if parts <= 1:
+        return []
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for placed in _placed(batch, corpus, topics):
+                size = pa.array([len(raw) for raw in placed.column("ids").to_pylist()], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(placed.column(c) for c in order), size], names=[*order, "size"])
+
+    share = draw_limit(PART_ROWS * parts / max(1, corpus.documents))
+    drawn = rows.where(draw_hash("row_key", "content") <= share)
+    sample = drawn.mapInArrow(place, ", ".join(f"{c} long" for c in (*order, "size"))).toPandas().sort_values(order)
+    done = sample["size"].cumsum().to_numpy()
+    if not len(done):
+        return []
+    at = np.unique(np.searchsorted(done, done[-1] * np.arange(1, parts) / parts))
+    return list(sample[order].iloc[at].itertuples(index=False, name=None))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Pieces of all documents in sequences of at most ``LENGTH`` ids.
 
@@ -289,14 +328,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TO
     rows = table.where("row_key IS NOT NULL").select("row_key", "doc_id", "ids")
     topics = fit_topics(rows, corpus, shards)
 
+    rows = rows.withColumn("content", F.xxhash64("ids"))
+    order = ["topic", "heaviest", "content", "row_key"]
+    parts = -(-shards // TASK_SHARDS)
+    bounds = _bounds(rows, corpus, topics, order, parts)
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row_key", "doc_id", "ids", "topic", "heaviest"]
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
-                x, heaviest = profiles([np.frombuffer(raw, dtype=np.uint16) for raw in part.column(2).to_pylist()], corpus)
-                columns = [*part.columns, pa.array(topics.leaf(x)), pa.array(heaviest)]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+            for placed in _placed(batch, corpus, topics):
+                at = zip(*(placed.column(c).to_pylist() for c in order), strict=True)
+                yield placed.append_column("part", pa.array([bisect_left(bounds, key) for key in at], pa.int32()))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 40
@@ -318,10 +359,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, shard_tokens: int = SHARD_TO
         if held:
             yield shard()
 
-    order = ["topic", "heaviest", "content", "row_key"]
-    placed = rows.mapInArrow(place, "row_key long, doc_id long, ids binary, topic long, heaviest long")
-    placed = placed.withColumn("content", F.xxhash64("ids"))
+    placed = rows.mapInArrow(place, f"{_PLACED}, part int")
     # A corpus of one shard stays whole; else tasks cut shards from ranges of the order.
-    dealt = placed.repartitionByRange(1 if shards == 1 else -(-shards // TASK_SHARDS), *order).sortWithinPartitions(*order)
+    dealt = placed.repartitionById(len(bounds) + 1, "part").sortWithinPartitions(*order)
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     return dealt.select("doc_id", "ids").mapInArrow(pack, schema)
