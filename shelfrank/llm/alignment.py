@@ -4,9 +4,10 @@ The tokens of both are intervals of bytes.  Sorted by start, a token that starts
 opens a new group, so the groups are the finest pieces of the text that both tokenizers cut out alike.  All tokens of
 one side are linked with all of the other within a group.
 
-What a group links depends on its ids alone, and texts repeat their groups as they repeat their words.  Documents are
-worked off in chunks: a chunk names its different groups and their id pairs once and each document as groups with
-their times.  The corpus-wide counts are joined to the chunk's pairs and go back to the chunk as one list.
+Neither tokenizer has a token across the border between a sign and a space after it, so texts are cut there, and
+each different word is tokenized and aligned once by a task.  Documents are worked off in chunks: a chunk names its
+words' id pairs once and each document as words with their times.  The corpus-wide counts are joined to
+the chunk's pairs and go back to the chunk as one list.
 """
 
 from __future__ import annotations
@@ -24,17 +25,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfrank.llm.text import mix64, slices
+from shelfrank.llm.text import SpanHasher, slices
 from shelfrank.session import write_table
 
-#: Text bytes of a chunk, and so of what a task holds; a longer document is a chunk.
-CHUNK_BYTES = 1 << 24
+#: Text bytes of a chunk; a longer document is a chunk.
+CHUNK_BYTES = 1 << 22
+#: Words given to a tokenizer at once, whose own records of them are many times their size.
+AT_ONCE = 2048
+#: Words and their bytes remembered by a task, beyond which it starts afresh with the next chunk.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 1 << 23
 SPACE_MARK = "▁"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 DIGITS = 6
 #: (document, pair) entries that are told apart at once.
 ENTRIES = 1 << 22
-_U = np.uint64
+#: Bytes that surely end no white space: ASCII signs.
+_SOLID = np.zeros(256, dtype=bool)
+_SOLID[33:127] = True
 
 
 # Tokens and their bytes
@@ -64,7 +71,7 @@ def _letter_bytes() -> dict[str, int]:
 
 
 class ByteLevelTokens:
-    """Ids by a byte-level tokenizer file; a space stands before each text."""
+    """Ids by a byte-level tokenizer file, whose pieces end before a space that follows a sign."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -78,11 +85,11 @@ class ByteLevelTokens:
         self.vocabulary = Vocabulary(pieces)
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
 class PieceTokens:
-    """Ids by a sentence-piece model, which puts the space itself; bytes without a piece are pieces ``<0xHH>``."""
+    """Ids by a sentence-piece model; bytes without a piece are pieces ``<0xHH>``.  Texts begin with a space."""
 
     def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -92,11 +99,13 @@ class PieceTokens:
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
             byte = _BYTE_PIECE.fullmatch(piece)
+            if SPACE_MARK in piece.lstrip(SPACE_MARK):
+                raise ValueError(f"piece {piece} has a space after a sign, so texts cannot be cut at spaces")
             pieces.append(bytes([int(byte[1], 16)]) if byte else piece.replace(SPACE_MARK, " ").encode())
         self.vocabulary = Vocabulary(pieces)
 
     def __call__(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+        return self.model.encode([t[1:] for t in texts], num_threads=1)  # the model puts the first space itself
 
 
 # Groups
@@ -178,52 +187,137 @@ def _wide(raw: bytes, count: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{max(1, len(raw) // max(1, count))}").astype(np.int64)
 
 
-class GroupTable:
-    """The different groups of a chunk: per group its id pairs, as places in the chunk's list of pairs, and their links.
+def linked_pairs(a, b, a_group, b_group, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, pair, links): the different id pairs ``a << 32 | b`` that each text links, and how often.
 
-    Groups are told apart by a 64-bit sum of their hashed ids; a group's links do not depend on the ids' order.
+    ``first`` holds the texts' first groups and the number of groups.  Equal ids of a group are taken together first.
     """
+    (a_keys, a_times), (b_keys, b_times) = _counted(a_group << 32 | a), _counted(b_group << 32 | b)
+    of_a, of_b, low = a_keys >> 32, b_keys >> 32, (1 << 32) - 1
+    size = np.bincount(of_b, minlength=int(first[-1]))
+    left = np.repeat(np.arange(len(a_keys)), size[of_a])
+    right = _runs((np.cumsum(size) - size)[of_a], size[of_a])
+    pair = (a_keys[left] & low) << 32 | (b_keys[right] & low)
+    text = np.searchsorted(first, of_a[left], side="right") - 1
+    order = np.lexsort((pair, text))
+    text, pair, links = text[order], pair[order], (a_times[left] * b_times[right])[order]
+    new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1]))) if len(pair) else np.zeros(0, np.int64)
+    return text[new], pair[new], np.add.reduceat(links, new) if len(new) else links
 
-    def __init__(self, a, b, a_sizes, b_sizes, names: np.ndarray) -> None:
-        self.of, different = pd.factorize(names)
-        first = np.full(len(different), len(names))
-        np.minimum.at(first, self.of, np.arange(len(names)))
-        sides = []
-        for ids, sizes in ((a, a_sizes), (b, b_sizes)):
-            starts = np.cumsum(sizes) - sizes
-            group = np.repeat(np.arange(len(first)), sizes[first])
-            sides.append(_counted(group << 32 | ids[_runs(starts[first], sizes[first])]))
-        (a_keys, a_times), (b_keys, b_times) = sides
-        of_a, of_b = a_keys >> 32, b_keys >> 32
-        size = np.bincount(of_b, minlength=len(first))
-        start = np.cumsum(size) - size
-        left = np.repeat(np.arange(len(a_keys)), size[of_a])
-        right = _runs(start[of_a], size[of_a])
-        low = (1 << 32) - 1
-        self.pairs, self.places = np.unique((a_keys[left] & low) << 32 | (b_keys[right] & low), return_inverse=True)
-        self.times = a_times[left] * b_times[right]
-        self.sizes = np.bincount(of_a[left], minlength=len(first))
-
-    def held(self, doc: np.ndarray, group: np.ndarray) -> np.ndarray:
-        """In how many documents each pair is linked, from the different groups of each document, by document."""
-        starts, sizes = np.cumsum(self.sizes) - self.sizes, self.sizes[group]
-        total, done, at = np.zeros(len(self.pairs), dtype=np.int64), np.cumsum(sizes), 0
-        ends = np.flatnonzero(np.append(doc[1:] != doc[:-1], True)) + 1 if len(doc) else []
-        low = 0
-        for k, high in enumerate(ends):
-            if k + 1 < len(ends) and done[ends[k + 1] - 1] - at <= ENTRIES:
-                continue
-            entries = np.repeat(doc[low:high], sizes[low:high]) * len(self.pairs)
-            entries += self.places[_runs(starts[group[low:high]], sizes[low:high])]
-            entries.sort()
-            entries = entries[np.flatnonzero(np.append(True, entries[1:] != entries[:-1]))]
-            total += np.bincount(entries % len(self.pairs), minlength=len(self.pairs))
-            low, at = high, int(done[high - 1])
-        return total
-
-
-#: A row per document, with its different groups and their times; and one per chunk (``n_pairs`` not null), with
-#: the sizes of its groups, their pairs' places in ``pairs`` and links, and in how many documents each pair is held.
+
+def _encoded(side, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of some texts, and how many each has."""
+    ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for low in range(0, len(texts), AT_ONCE):
+        lists = side(texts[low : low + AT_ONCE])
+        sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        ids.append(np.fromiter(chain.from_iterable(lists), np.int64, int(sizes[-1].sum())))
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind) -> None:
+        self.size, self.data = 0, np.zeros(1024, dtype=kind)
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.data):
+            self.data = np.concatenate([self.data, np.zeros(max(end, len(self.data)), self.data.dtype)])
+        self.data[self.size : end] = values
+        self.size = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.data[: self.size]
+
+
+class Words:
+    """Different words with their figures, groups and id pairs; told apart by 64-bit hashes of their bytes."""
+
+    FIGURES = ("n_a", "n_b", "n_groups", "n_links")
+
+    def __init__(self, a_path: str, b_path: str) -> None:
+        self.sides = ByteLevelTokens(a_path), PieceTokens(b_path)
+        self.writer = GroupWriter(max(len(s.vocabulary.sizes) for s in self.sides))
+        self.hasher = SpanHasher()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.groups: list[bytes] = []
+        self.bytes = 0
+        self.figures = {n: _Grown(np.int64) for n in self.FIGURES}
+        self.sound, self.size = _Grown(bool), _Grown(np.int64)
+        self.pairs, self.links = _Grown(np.int64), _Grown(np.int64)
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The numbers of the words that stand there; new ones are learned."""
+        codes, keys = pd.factorize(self.hasher(data, start, end))
+        number = np.array([self.known.get(k, -1) for k in keys.tolist()], dtype=np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            at = np.empty(len(keys), dtype=np.int64)
+            at[codes[::-1]] = np.arange(len(codes))[::-1]
+            text = data.tobytes()
+            number[new] = len(self.groups) + np.arange(len(new))
+            self.known.update(zip(keys[new].tolist(), number[new].tolist(), strict=True))
+            self._learn([text[start[i] : end[i]] for i in at[new].tolist()])
+        return number[codes]
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        whole, cuts = np.frombuffer(b"".join(words), np.uint8), np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        sound, found = np.ones(len(words), dtype=bool), []
+        for side in self.sides:
+            ids, sizes = _encoded(side, texts)
+            found.append((ids, sizes))
+            spelled = side.vocabulary.spell(ids)
+            ends = np.concatenate([[0], np.cumsum(side.vocabulary.sizes[ids])])[np.concatenate([[0], np.cumsum(sizes)])]
+            if not np.array_equal(ends, cuts) or not np.array_equal(spelled, whole):
+                for i in range(len(words)):
+                    sound[i] &= np.array_equal(spelled[ends[i] : ends[i + 1]], whole[cuts[i] : cuts[i + 1]])
+        (a, n_a), (b, n_b) = ((ids[np.repeat(sound, sizes)], np.where(sound, sizes, 0)) for ids, sizes in found)
+        a_group, b_group = coalesce_intervals(*(s.vocabulary.sizes[ids] for s, ids in zip(self.sides, (a, b), strict=True)))
+        groups = int(a_group[-1]) + 1 if len(a) else 0
+        first = np.append(a_group, groups)[np.concatenate([[0], np.cumsum(n_a)])]
+        links = np.concatenate([[0], np.cumsum(np.bincount(a_group, minlength=groups) * np.bincount(b_group, minlength=groups))])
+        for name, values in zip(self.FIGURES, (n_a, n_b, np.diff(first), links[first[1:]] - links[first[:-1]]), strict=True):
+            self.figures[name].add(values)
+        self.groups += self.writer(a, b, a_group, b_group, first)
+        word, pair, times = linked_pairs(a, b, a_group, b_group, first)
+        self.size.add(np.bincount(word, minlength=len(words)))
+        self.pairs.add(pair)
+        self.links.add(times)
+        self.sound.add(sound)
+        self.bytes += len(whole)
+
+    def pairs_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many id pairs each of some words has, the pairs and their links."""
+        sizes = self.size.values
+        place = _runs((np.cumsum(sizes) - sizes)[words], sizes[words])
+        return sizes[words], self.pairs.values[place], self.links.values[place]
+
+
+def documents_holding(doc: np.ndarray, word: np.ndarray, sizes: np.ndarray, places: np.ndarray, pairs: int) -> np.ndarray:
+    """In how many documents each pair comes up, from the different words of each document, by document."""
+    starts, size = np.cumsum(sizes) - sizes, sizes[word]
+    total, done, low, before = np.zeros(pairs, dtype=np.int64), np.cumsum(size), 0, 0
+    ends = np.flatnonzero(np.append(doc[1:] != doc[:-1], True)) + 1 if len(doc) else []
+    for k, high in enumerate(ends):
+        if k + 1 < len(ends) and done[ends[k + 1] - 1] - before <= ENTRIES:
+            continue
+        entries = np.repeat(doc[low:high], size[low:high]) * pairs + places[_runs(starts[word[low:high]], size[low:high])]
+        entries.sort()
+        entries = entries[np.flatnonzero(np.append(True, entries[1:] != entries[:-1]))] if len(entries) else entries
+        total += np.bincount(entries % max(1, pairs), minlength=pairs)
+        low, before = high, int(done[high - 1])
+    return total
+
+
+#: A row per document, with its different words and their times; and one per chunk (``n_pairs`` not null), with
+#: how many pairs its words have, their places in ``pairs`` and links, and in how many documents each pair is held.
 _COLUMNS = {
     "chunk": "long", "doc_id": "long", "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups": "string",
     "count": "long", "members": "binary", "times": "binary", "n_pairs": "long", "sizes": "binary", "pairs": "binary", "held": "binary",
@@ -236,93 +330,88 @@ def _batch(rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(_COLUMNS))
 
 
-class _Aligner:
-    """Both tokenizers over slices of texts; keeps a chunk's tokens until it is closed."""
+class _Chunk:
+    """Documents as numbers of words, until they are enough to be closed."""
 
-    def __init__(self, a_path: str, b_path: str) -> None:
-        self.sides = ByteLevelTokens(a_path), PieceTokens(b_path)
-        sizes = [len(s.vocabulary.sizes) for s in self.sides]
-        self.names = [mix64(np.arange(n, dtype=np.uint64) * _U(2) + _U(k + 1)) for k, n in enumerate(sizes)]
-        self.writer = GroupWriter(max(sizes))
+    def __init__(self, words: Words) -> None:
+        self.words = words
         self._clear()
 
     def _clear(self) -> None:
         self.kept, self.rows, self.size, self.docs = [], [], 0, 0
 
-    def _tokens(self, texts: list[str | None], data: np.ndarray, offsets: np.ndarray):
-        """Ids of either side and how many each text has; none for texts that either side does not give back."""
-        texts = [t or "" for t in texts]
+    def add(self, doc_id: pa.Array, data: np.ndarray, offsets: np.ndarray) -> None:
+        docs = len(offsets) - 1
         whole = np.insert(data, offsets[:-1], 32)  # a space before each text
-        ends = offsets[1:] + np.arange(1, len(texts) + 1)
-        starts = offsets[:-1] + np.arange(len(texts))
-        given = np.diff(offsets) > 0
-        found = []
-        for side in self.sides:
-            lists = side(texts)
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            ids = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
-            found.append((ids, sizes))
-            spelled, vocabulary = side.vocabulary.spell(ids), side.vocabulary
-            lengths = np.concatenate([[0], np.cumsum(vocabulary.sizes[ids])])[np.concatenate([[0], np.cumsum(sizes)])]
-            if len(spelled) != len(whole) or (lengths[1:] != ends).any() or (spelled != whole).any():
-                for i in range(len(texts)):
-                    given[i] &= np.array_equal(spelled[lengths[i] : lengths[i + 1]], whole[starts[i] : ends[i]])
-        return [(ids[np.repeat(given, sizes)], np.where(given, sizes, 0)) for ids, sizes in found]
-
-    def add(self, doc_id: pa.Array, texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> None:
-        (a, n_a), (b, n_b) = self._tokens(texts.to_pylist(), data, offsets)
-        a_group, b_group = coalesce_intervals(self.sides[0].vocabulary.sizes[a], self.sides[1].vocabulary.sizes[b])
-        groups = int(a_group[-1]) + 1 if len(a) else 0
-        # The first group of each document and the end; a document without tokens has none.
-        first = np.append(a_group, groups)[np.concatenate([[0], np.cumsum(n_a)])]
-        a_sizes, b_sizes = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
-        links = np.concatenate([[0], np.cumsum(a_sizes * b_sizes)])
-        texts = self.writer(a, b, a_group, b_group, first)
-        with np.errstate(over="ignore"):
-            sums = [np.concatenate([[_U(0)], np.cumsum(m[ids])]) for m, ids in zip(self.names, (a, b), strict=True)]
-            cuts = [np.concatenate([[0], np.cumsum(sizes)]) for sizes in (a_sizes, b_sizes)]
-            names = sum((s[c[1:]] - s[c[:-1]] for s, c in zip(sums, cuts, strict=True)), np.zeros(groups, np.uint64))
-        doc = np.repeat(np.arange(self.docs, self.docs + len(n_a)), np.diff(first))
-        self.kept.append((a.astype(np.uint32), b.astype(np.uint32), a_sizes, b_sizes, names, doc))
-        digest = [hashlib.sha256(t).hexdigest() if n else "" for t, n in zip(texts, n_a.tolist(), strict=True)]
-        self.rows.append((doc_id, n_a, n_b, np.diff(first), links[first[1:]] - links[first[:-1]], digest))
-        self.docs += len(n_a)
+        begins = offsets[:-1] + np.arange(docs)
+        solid = _SOLID[whole]
+        solid[1:] |= (whole[:-1] == 0xC3) & (whole[1:] >= 0x80)  # the letters of Latin-1
+        cut = np.zeros(len(whole), dtype=bool)
+        cut[1:] = (whole[1:] == 32) & solid[:-1]
+        cut[begins[1:] - 1] = cut[-1:] = False  # a last space goes with the word before it
+        cut[begins] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(whole))
+        doc = np.searchsorted(begins, start, side="right") - 1
+        given = (np.diff(offsets) > 0)[doc]
+        start, end, doc = start[given], end[given], doc[given]
+        word = self.words(whole, start, end)
+        sound = np.bincount(doc[~self.words.sound.values[word]], minlength=docs) == 0
+        word, doc = word[sound[doc]], doc[sound[doc]]
+        cuts = np.searchsorted(doc, np.arange(docs + 1))
+        figures = {}
+        for name, grown in self.words.figures.items():
+            total = np.concatenate([[0], np.cumsum(grown.values[word])])
+            figures[name] = total[cuts[1:]] - total[cuts[:-1]]
+        groups, numbers = self.words.groups, word.tolist()
+        digests = [
+            hashlib.sha256(b";".join([groups[w] for w in numbers[x:y]])).hexdigest() if y > x else ""
+            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+        ]
+        self.kept.append((word, doc + self.docs))
+        self.rows.append((doc_id, {**figures, "groups": digests}))
+        self.docs += docs
         self.size += len(data)
 
     def close(self, chunk: int) -> Iterator[pa.RecordBatch]:
-        a, b, a_sizes, b_sizes, names, doc = (np.concatenate(x) for x in zip(*self.kept, strict=True))
-        table = GroupTable(a.astype(np.int64), b.astype(np.int64), a_sizes, b_sizes, names)
-        width = max(1, len(table.sizes))
-        keys, times = _counted(doc * width + table.of)
-        doc, group = np.divmod(keys, width)
+        word, doc = (np.concatenate(x) for x in zip(*self.kept, strict=True))
+        used, local = np.unique(word, return_inverse=True)
+        sizes, pairs, links = self.words.pairs_of(used)
+        pairs, places = np.unique(pairs, return_inverse=True)
+        width = max(1, len(used))
+        keys, times = _counted(doc * width + local)
+        doc, word = np.divmod(keys, width)
+        held = documents_holding(doc, word, sizes, places, len(pairs))
         yield _batch(
-            1, chunk=[chunk], count=[len(table.sizes)], members=[_narrow(table.places)], times=[_narrow(table.times)], n_pairs=[len(table.pairs)],
-            sizes=[_narrow(table.sizes)], pairs=[_narrow(table.pairs)], held=[_narrow(table.held(doc, group))],
+            1, chunk=[chunk], count=[len(used)], members=[_narrow(places)], times=[_narrow(links)], n_pairs=[len(pairs)],
+            sizes=[_narrow(sizes)], pairs=[_narrow(pairs)], held=[_narrow(held)],
         )
         at = 0
-        cuts = np.searchsorted(doc, np.arange(self.docs + 1))
-        for doc_id, n_a, n_b, n_groups, n_links, digest in self.rows:
-            parts = list(zip(cuts[at : at + len(n_a)].tolist(), cuts[at + 1 : at + len(n_a) + 1].tolist(), strict=True))
+        cuts = np.searchsorted(doc, np.arange(self.docs + 1)).tolist()
+        for doc_id, columns in self.rows:
+            docs = len(doc_id)
+            parts = list(zip(cuts[at : at + docs], cuts[at + 1 : at + docs + 1], strict=True))
             yield _batch(
-                len(n_a), chunk=np.full(len(n_a), chunk), doc_id=doc_id, n_a=n_a, n_b=n_b, n_groups=n_groups,
-                n_links=n_links, groups=digest, members=[_narrow(group[x:y]) for x, y in parts], times=[_narrow(times[x:y]) for x, y in parts],
-                count=[y - x for x, y in parts],
+                docs, chunk=np.full(docs, chunk), doc_id=doc_id, **columns, members=[_narrow(word[x:y]) for x, y in parts],
+                times=[_narrow(times[x:y]) for x, y in parts], count=[y - x for x, y in parts],
             )
-            at += len(n_a)
+            at += docs
         self._clear()
+        if len(self.words.known) > REMEMBERED or self.words.bytes > REMEMBERED_BYTES:
+            self.words.forget()
 
 
 def _describe(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int) -> DataFrame:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, chunk = _Aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        held, chunk = _Chunk(Words(a_path, b_path)), TaskContext.get().partitionId() << 32
         for batch in batches:
             for low, high, data, offsets in slices(batch.column(1)):
-                aligner.add(batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), data, offsets)
-                if aligner.size >= chunk_bytes:
-                    yield from aligner.close(chunk)
+                held.add(batch.column(0).slice(low, high - low), data, offsets)
+                if held.size >= chunk_bytes:
+                    yield from held.close(chunk)
                     chunk += 1
-        if aligner.docs:
-            yield from aligner.close(chunk)
+        if held.docs:
+            yield from held.close(chunk)
 
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return texts.mapInArrow(describe, ", ".join(f"{n} {k}" for n, k in _COLUMNS.items()))
@@ -377,9 +466,10 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int = C
 
     Null and empty texts, and texts that the joined bytes of either side do not give back, have no tokens: zeros
     and an empty ``groups``.  Every row is a document, so repeated rows count again; null doc_ids are kept.  An empty
-    table gives no rows; other columns are ignored.  A group's cost is the square of its different ids.
+    table gives no rows; other columns are ignored.  A group costs the square of its different ids, and a
+    task remembers some 100,000 words and one chunk.
     """
-    described = write_table(_describe(docs, a_path, b_path, chunk_bytes), "token-groups")
+    described = write_table(_describe(docs, a_path, b_path, chunk_bytes), "token-words")
     # A row per chunk and different pair, not per link or document.
     lists = described.where("n_pairs IS NOT NULL").select("chunk", "n_pairs", "pairs", "held")
     named = lists.mapInArrow(_pairs, "chunk long, pair long, held long")
