@@ -1,62 +1,34 @@
-"""Exact k nearest neighbours by equi-joins on tiles of about equal size.
-
-The training points are cut into slabs of about equal size along one feature,
-each slab along the next, and so on.  Where features have many values the tiles
-hold a few dozen points each; one value shared by many points is not cut, so
-its tile grows with them.  A query takes the k-th distance inside its own tile
-as a radius, and then looks only into the tiles its ball touches.  Nothing
-closer can lie elsewhere, so the result is exact.  Queries near the data touch
-a few tiles, queries far from it most of them.
+"""Exact k nearest neighbours over a k-d tree of bounded nodes.
+
+Spark splits the training points level by level, each node along its widest feature at up to ``CUTS`` values.  Every
+value cut at gets a child of its own, so a value shared by many points leaves that feature behind and the next split
+is along another one: nodes end at ``NODE_SIZE`` points whatever the data.  Inside a node the split goes on to
+leaves of ``TILE_SIZE`` points.  A query takes the k-th distance in its home node as its reach, and walks down the
+tree once more: of a node's children only those are visited whose box, by its squared gap, lies within reach and
+holds points that may count.  Nothing closer can lie elsewhere, so the result is exact, ties included.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfrank.session import write_table
 
 NEIGHBOURS = 5
+#: Points of a leaf, of a node, and queries that look into a copy of a node together.
 TILE_SIZE = 48
-# Features beyond these many enter the distances only.
-TILED_FEATURES = 6
-# Slack for rounding in radii; it can only add tiles to look into.
-SLACK = 1 + 1e-9
-
-
-@dataclass(frozen=True)
-class Tiling:
-    """Cut points along each axis: one list for the first, then a table by the earlier slabs."""
-
-    features: tuple[str, ...]
-    axes: tuple[str, ...]
-    cuts: tuple[Cuts, ...]
-    boxes: DataFrame
-    points: DataFrame
-    low: dict[str, float]
-    high: dict[str, float]
-
-    @property
-    def paths(self) -> list[str]:
-        return [f"_s{i}" for i in range(len(self.axes))]
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Sorted cut points; ``most`` bounds their number per earlier slab."""
-
-    most: int
-    first: list[float] | None = None
-    table: DataFrame | None = None
-
-    def join(self, df: DataFrame, path: Sequence[str]) -> DataFrame:
-        if self.table is None:
-            return df.withColumn("_cuts", F.lit(self.first).cast("array<double>"))
-        return df.join(self.table, list(path))
+NODE_SIZE = 4096
+ASKED_AT_ONCE = 4096
+CUTS = 15
+#: Candidates held for a block of queries before they are cut down to k each.
+CANDIDATES = 1 << 20
 
 
 def nearest_votes(
@@ -68,6 +40,7 @@ def nearest_votes(
     k: int = NEIGHBOURS,
     exclude: str | None = None,
     tile_size: int = TILE_SIZE,
+    node_size: int = NODE_SIZE,
 ) -> DataFrame:
     """Add ``prediction`` to ``queries``: the commonest label of the k nearest training rows.
 
@@ -80,33 +53,17 @@ def nearest_votes(
     same = [exclude] if exclude else []
     complete = train.select(key, label, *same, *_numbers(features)).dropna(subset=list(features))
     points = _without_copies(complete, [*features, *same], key, k)
-    tiling = tile(points, features, label, key, k, same, tile_size)
+    search = Search(build_tree(points, features, exclude, max(node_size, 2 * k)), label, key, k, tile_size)
     # Equal queries are asked once.
     asked = queries.select(*same, *_numbers(features)).dropna(subset=list(features)).distinct()
-    asked = write_table(
-        # Little data but much work per row: spread over all tasks.
-        asked.repartition(_tasks(asked)).withColumn("_query", F.monotonically_increasing_id()),
-        "queries",
-    )
-    votes = (
-        _closest(asked, tiling, key, label, k, exclude)
-        .groupBy("_query")
-        .agg(F.mode(label, True).alias("prediction"))
-    )
+    asked = write_table(asked.withColumn("_query", F.monotonically_increasing_id()), "queries")
+    votes = search.closest(asked).groupBy("_query").agg(F.mode(label, True).alias("prediction"))
     answers = asked.join(votes, "_query").drop("_query")
     on = [*features, *same]
     renamed = answers.select(*[F.col(c).alias(f"_{c}") for c in on], "prediction")
     matches = [F.col(c).cast("double") == F.col(f"_{c}") for c in features]
     matches += [F.col(c) == F.col(f"_{c}") for c in same]
-    condition = matches[0]
-    for m in matches[1:]:
-        condition = condition & m
-    return queries.join(renamed, condition, "left").drop(*[f"_{c}" for c in on])
-
-
-def _tasks(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return queries.join(renamed, reduce(Column.__and__, matches), "left").drop(*[f"_{c}" for c in on])
 
 
 def _numbers(features: Sequence[str]) -> list[Column]:
@@ -123,149 +80,273 @@ def _without_copies(points: DataFrame, on: Sequence[str], key: str, k: int) -> D
     return points.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
 
 
-def _slab(cuts: Column, value: Column, most: int) -> Column:
-    """How many cuts are at most ``value``: a binary search over the sorted array."""
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, most.bit_length())))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: F.when(F.get(cuts, found + step - 1) <= value, found + step).otherwise(found),
-    )
+# The tree
 
 
-def tile(
-    points: DataFrame,
-    features: Sequence[str],
-    label: str,
-    key: str,
-    k: int,
-    extra: Sequence[str] = (),
-    tile_size: int = TILE_SIZE,
-) -> Tiling:
-    points = write_table(points, "points")
-    facts = points.agg(
-        F.count("*").alias("n"),
-        *[F.approx_count_distinct(c).alias(f"{c}|distinct") for c in features],
-        *[f(c).alias(f"{c}|{s}") for c in features for s, f in [("low", F.min), ("high", F.max)]],
-    ).first()
-    distinct = {c: max(1, facts[f"{c}|distinct"]) for c in features}
-    # Features of few values first: what they cannot divide is left to the later ones.
-    axes = sorted(sorted(features, key=lambda c: -distinct[c])[:TILED_FEATURES], key=lambda c: distinct[c])
-    least = max(4 * k, tile_size // 4)
-    wanted = max(1.0, facts["n"] / tile_size)
-    cuts: list[Cuts] = []
-    placed = points
-    for i, axis in enumerate(axes):
-        slabs = max(1, math.ceil(wanted ** (1 / (len(axes) - i))))
-        wanted = max(1.0, wanted / min(slabs, distinct[axis]))
-        path = [f"_s{j}" for j in range(i)]
-        table = _cut_points(placed, axis, path, slabs, least)
-        if i == 0:
-            found = table.first()
-            cuts.append(Cuts(slabs, first=list(found["_cuts"]) if found else []))
-        else:
-            cuts.append(Cuts(slabs, table=write_table(table, f"cuts-{i}")))
-        placed = _place(placed, cuts[i], axis, path, i)
-    paths = [f"_s{i}" for i in range(len(axes))]
-    tiles = placed.groupBy(*paths).agg(
-        # About tile_size points where features have many values.
-        F.collect_list(F.struct(*features, key, label, *extra)).alias("_points"),
-        *[f(c).alias(f"_{s}_{c}") for c in features for s, f in [("low", F.min), ("high", F.max)]],
-    )
-    written = write_table(tiles, "tiles")
-    return Tiling(
-        tuple(features),
-        tuple(axes),
-        tuple(cuts),
-        written.drop("_points"),
-        written.select(*paths, "_points"),
-        {c: facts[f"{c}|low"] for c in features},
-        {c: facts[f"{c}|high"] for c in features},
-    )
-
-
-def _cut_points(placed: DataFrame, axis: str, path: Sequence[str], slabs: int, least: int) -> DataFrame:
-    """Cuts along ``axis`` per earlier slab, at about equal counts; no slab is left with under ``least`` points."""
-    empty = F.array().cast("array<double>")
-    shares = F.lit([j / slabs for j in range(1, slabs)])
-    guess = F.percentile_approx(axis, shares, 10 * max(slabs, 100)) if slabs > 1 else empty
-    guesses = placed.groupBy(*path).agg(guess.alias("_guess"), F.min(axis).alias("_least"))
-    guesses = guesses.select(
-        *path,
-        F.array_distinct(F.filter(F.coalesce("_guess", empty), lambda c: c > F.col("_least"))).alias("_cuts"),
-    )
-    if path:
-        joined = placed.select(*path, axis).join(guesses, list(path))
-    else:
-        found = guesses.first()
-        joined = placed.select(axis).withColumn("_cuts", F.lit(list(found["_cuts"])).cast("array<double>"))
-    sizes = (
-        joined.select(*path, F.col("_cuts"), _slab(F.col("_cuts"), F.col(axis), slabs).alias("_slab"))
-        .groupBy(*path, "_slab")
-        .agg(F.count("*").alias("_n"), F.first(F.get("_cuts", F.col("_slab") - 1)).alias("_start"))
-    )
-    # As many rows as there are slabs.
-    before = F.sum("_n").over(Window.partitionBy(*path).orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1))
-    kept = F.when((F.col("_n") >= least) & (F.coalesce(before, F.lit(0)) >= least), F.col("_start"))
-    return (
-        sizes.withColumn("_kept", kept).groupBy(*path).agg(F.sort_array(F.collect_list("_kept")).alias("_cuts"))
-    )
-
-
-def _place(df: DataFrame, cuts: Cuts, axis: str, path: Sequence[str], i: int) -> DataFrame:
-    slab = _slab(F.col("_cuts"), F.col(axis), cuts.most)
-    return cuts.join(df, path).withColumn(f"_s{i}", slab).drop("_cuts")
-
-
-def _distance(features: Sequence[str], point: Column) -> Column:
+@dataclass(frozen=True)
+class Tree:
+    """``points`` with the path of their node; per level a table of parent and ``children``, an array of boxes."""
+
+    features: tuple[str, ...]
+    exclude: str | None
+    points: DataFrame
+    levels: tuple[DataFrame, ...]
+
+
+def build_tree(points: DataFrame, features: Sequence[str], exclude: str | None = None, node_size: int = NODE_SIZE) -> Tree:
+    """Split points level by level until no node has more than ``node_size`` of them, but for nodes of equal points."""
+    placed = write_table(points.withColumn("_path", F.lit("")).withColumn("_closed", F.lit(False)), "points")
+    done, levels = [], []
+    sides = [f(c).alias(f"_{s}_{c}") for c in features for s, f in [("low", F.min), ("high", F.max)]]
+    others = [F.min(exclude).alias("_least"), F.max(exclude).alias("_most")] if exclude else []
+    while True:
+        spreads = F.array(*[F.col(f"_high_{c}") - F.col(f"_low_{c}") for c in features])
+        nodes = placed.groupBy("_path").agg(F.count("*").alias("_n"), *sides, *others)
+        nodes = nodes.withColumn("_closed", (F.col("_n") <= node_size) | (F.array_max(spreads) == 0))
+        nodes = write_table(nodes.withColumn("_axis", F.array_position(spreads, F.array_max(spreads)).cast("int")), "nodes")
+        box = F.struct("_path", "_closed", *[f"_{s}_{c}" for c in features for s in ("low", "high")], *(["_least", "_most"] if exclude else []))
+        parent = F.expr("substring(_path, 1, length(_path) - 1)")
+        levels.append(nodes.groupBy(parent.alias("_parent")).agg(F.collect_list(box).alias("_children")))
+        placed = placed.drop("_closed").join(nodes.select("_path", "_closed", "_axis"), "_path")
+        done.append(placed.where("_closed").drop("_axis", "_closed"))
+        split = nodes.where("NOT _closed")
+        if split.isEmpty():
+            break
+        going = placed.where("NOT _closed")
+        value = F.element_at(F.array(*features), F.col("_axis"))
+        shares = F.lit([j / (CUTS + 1) for j in range(1, CUTS + 1)])
+        cuts = going.groupBy("_path").agg(F.sort_array(F.array_distinct(F.percentile_approx(value, shares, 1000))).alias("_cuts"))
+        # Below, at, or between the cuts: each is a value of the node, so at least two children have points.
+        slab = F.size(F.filter("_cuts", lambda c: c < value)) + F.size(F.filter("_cuts", lambda c: c <= value))
+        onward = going.join(cuts, "_path").withColumn("_path", F.concat("_path", F.char(slab + 65)))
+        placed = write_table(onward.drop("_cuts", "_axis"), "points")
+    return Tree(tuple(features), exclude, reduce(DataFrame.unionByName, done), tuple(levels))
+
+
+def _gap(features: Sequence[str], box: Column) -> Column:
+    """The squared distance from a query to a box."""
     total = None
     for c in features:
-        gap = F.col(c) - point[c]
+        aside = F.greatest(box[f"_low_{c}"] - F.col(c), F.col(c) - box[f"_high_{c}"], F.lit(0.0))
+        total = aside * aside if total is None else total + aside * aside
+    return total
+
+
+# Inside a node
+
+
+def split_leaves(points: np.ndarray, leaf_size: int) -> list[np.ndarray]:
+    """Rows of each leaf: halves along the widest feature, until they are few enough or all equal."""
+    out, todo = [], [np.arange(len(points))]
+    while todo:
+        rows = todo.pop()
+        part = points[rows]
+        spread = part.max(axis=0) - part.min(axis=0) if len(rows) else np.zeros(1)
+        if len(rows) <= leaf_size or not spread.max() > 0:
+            out.append(rows)
+            continue
+        values = part[:, int(spread.argmax())]
+        middle = np.partition(values, len(values) // 2)[len(values) // 2]
+        lower = values < middle if (values < middle).any() else values <= middle
+        todo += [rows[lower], rows[~lower]]
+    return out
+
+
+def _squares(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    total = None
+    for c in range(queries.shape[1]):
+        gap = queries[:, c, None] - points[None, :, c]
         total = gap * gap if total is None else total + gap * gap
     return total
 
 
-def _usable(exclude: str | None) -> Column:
-    points = F.col("_points")
-    return F.filter(points, lambda p: p[exclude] != F.col(exclude)) if exclude else points
-
-
-def _closest(asked: DataFrame, tiling: Tiling, key: str, label: str, k: int, exclude: str | None) -> DataFrame:
-    features, paths = tiling.features, tiling.paths
-
-    home = asked
-    for i, axis in enumerate(tiling.axes):
-        home = _place(home, tiling.cuts[i], axis, paths[:i], i)
-    distances = F.sort_array(F.transform(_usable(exclude), lambda p: _distance(features, p)))
-    # Too few usable points at home: a radius that takes in all points.
-    spans = [F.greatest(F.abs(F.col(c) - tiling.low[c]), F.abs(F.col(c) - tiling.high[c])) for c in features]
-    farthest = sum((span * span for span in spans), F.lit(0.0))
-    reach = F.coalesce(F.get(distances, F.lit(k - 1)), farthest) * SLACK
-    ball = home.join(tiling.points, paths).select(*asked.columns, reach.alias("_reach"))
-
-    ball = ball.withColumn("_radius", F.sqrt("_reach") * SLACK)
-    for i, axis in enumerate(tiling.axes):
-        cuts = tiling.cuts[i]
-        first = _slab(F.col("_cuts"), F.col(axis) - F.col("_radius"), cuts.most)
-        last = _slab(F.col("_cuts"), F.col(axis) + F.col("_radius"), cuts.most)
-        ball = cuts.join(ball, paths[:i]).withColumn(f"_s{i}", F.explode(F.sequence(first, last))).drop("_cuts")
-
-    # The boxes decide before any point is looked at.
-    aside = [F.greatest(F.col(f"_low_{c}") - F.col(c), F.col(c) - F.col(f"_high_{c}"), F.lit(0.0)) for c in features]
-    touched = sum((a * a for a in aside), F.lit(0.0)) <= F.col("_reach") * SLACK
-    visits = ball.join(tiling.boxes, paths).where(touched).select(*asked.columns, "_reach", *paths)
-    near = F.filter(
-        F.transform(
-            _usable(exclude),
-            lambda p: F.struct(_distance(features, p).alias("distance"), p[key].alias(key), p[label].alias(label)),
-        ),
-        lambda s: s["distance"] <= F.col("_reach"),
-    )
-    found = (
-        visits.join(tiling.points, paths)
-        # The outer form, since the plain one would evaluate the list once more as a filter.
-        .select("_query", F.inline_outer(F.slice(F.sort_array(near), 1, k)))
-        .where(F.col("distance").isNotNull())
-    )
-    place = F.row_number().over(Window.partitionBy("_query").orderBy("distance", key))
-    return found.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")
+def _best(found: list[tuple], k: int) -> tuple[np.ndarray, ...]:
+    """Of candidates (query, distance, key, row) the k best of each query."""
+    query, distance, key, row = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((key, distance, query))
+    place = np.arange(len(order))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = query[order][1:] != query[order][:-1]
+    kept = order[place - np.maximum.accumulate(np.where(new, place, 0)) < k]
+    return query[kept], distance[kept], key[kept], row[kept]
+
+
+def search_node(points, key, others, queries, not_of, reach, k: int, leaf_size: int) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """The k best candidates (query, distance, key, row) within reach, and how many points each query was compared with.
+
+    ``others`` and ``not_of`` are the values that points and queries must not share, or None.  Without ``reach``, leaves
+    are taken by their distance until k points that count are found; their k-th distance is the reach.
+    """
+    leaves = split_leaves(points, leaf_size)
+    boxes = [(points[rows].min(axis=0), points[rows].max(axis=0)) for rows in leaves]
+    low, high = (np.stack([b[side] for b in boxes]) for side in (0, 1))
+    gaps = None
+    for c in range(points.shape[1]):
+        aside = np.maximum(np.maximum(low[None, :, c] - queries[:, None, c], queries[:, None, c] - high[None, :, c]), 0.0)
+        gaps = aside * aside if gaps is None else gaps + aside * aside
+    if others is not None:
+        alone = [others[rows[0]] if (others[rows] == others[rows[0]]).all() else None for rows in leaves]
+        for leaf, value in enumerate(alone):
+            if value is not None:
+                gaps[not_of == value, leaf] = np.inf  # nothing here counts
+    compared = np.zeros(len(queries), dtype=np.int64)
+
+    def distances(at: np.ndarray, leaf: int) -> np.ndarray:
+        rows = leaves[leaf]
+        compared[at] += len(rows)
+        squares = _squares(queries[at], points[rows])
+        return squares if others is None else np.where(others[rows][None, :] != not_of[at][:, None], squares, np.inf)
+
+    if reach is None:
+        reach = np.full(len(queries), np.inf)
+        nearest, pending = np.full((len(queries), k), np.inf), np.arange(len(queries))
+        order = np.argsort(gaps, axis=1, kind="stable")
+        for step in range(len(leaves)):
+            if not len(pending):
+                break
+            leaf_of = order[pending, step]
+            for leaf in np.unique(leaf_of):
+                at = pending[leaf_of == leaf]
+                both = np.concatenate([nearest[at], distances(at, leaf)], axis=1)
+                nearest[at] = np.partition(both, k - 1, axis=1)[:, :k]
+            reach[pending] = nearest[pending].max(axis=1)
+            pending = pending[np.isinf(reach[pending])]
+    none = np.zeros(0, np.int64)
+    found, held = [(none, np.zeros(0), key[:0], none)], 0
+    for leaf, rows in enumerate(leaves):
+        at = np.flatnonzero((gaps[:, leaf] <= reach) & (gaps[:, leaf] < np.inf))
+        if not len(at):
+            continue
+        squares = distances(at, leaf)
+        query, row = np.nonzero((squares <= reach[at][:, None]) & (squares < np.inf))
+        found.append((at[query], squares[query, row], key[rows[row]], rows[row]))
+        held += len(query)
+        if held > CANDIDATES:
+            found = [_best(found, k)]
+            held = len(found[0][0])
+    return _best(found, k), compared
+
+
+# The search
+
+
+@dataclass(frozen=True)
+class Search:
+    tree: Tree
+    label: str
+    key: str
+    k: int
+    leaf_size: int = TILE_SIZE
+
+    def closest(self, asked: DataFrame) -> DataFrame:
+        """(_query, distance, key, label): the k nearest points that count of every query."""
+        home = write_table(self._home(asked), "homes")
+        inside = write_table(self._look(home.withColumn("_reach", F.lit(None).cast("double"))), "home-neighbours")
+        full = inside.groupBy("_query").agg(F.count("*").alias("_n"), F.max("distance").alias("_farthest")).where(F.col("_n") >= self.k)
+        reached = home.join(full.select("_query", F.col("_farthest").alias("_reach")), "_query", "left")
+        reached = write_table(reached, "reaches")
+        lacking = reached.where("_reach IS NULL").drop("_reach")
+        if not lacking.isEmpty():
+            reached = reached.where("_reach IS NOT NULL").unionByName(self._reach_by_ancestors(lacking))
+        more = self._look(self.visits(reached))
+        place = F.row_number().over(Window.partitionBy("_query").orderBy("distance", self.key))
+        return inside.unionByName(more).withColumn("_place", place).where(F.col("_place") <= self.k).drop("_place")
+
+    def _down(self, asked: DataFrame, choose: Callable[[Column], Column]) -> DataFrame:
+        """Walk down the levels; ``choose`` makes of a node's children the array of those to go on to."""
+        at = asked.withColumns({"_path": F.lit(""), "_closed": F.lit(False)})
+        for depth, level in enumerate(self.tree.levels):
+            # The first two tables are one row of at most 2 CUTS + 1 boxes.
+            level = F.broadcast(level) if depth < 2 else level
+            at = at.join(level, F.when(~F.col("_closed"), F.col("_path")) == F.col("_parent"), "left")
+            here = F.array(F.struct("_path", "_closed"))
+            onward = F.when(F.col("_closed"), here).otherwise(choose(F.coalesce("_children", F.array())))
+            at = at.withColumn("_next", F.explode(onward)).drop("_parent", "_children")
+            at = at.withColumns({"_path": F.col("_next._path"), "_closed": F.col("_next._closed")}).drop("_next")
+        return at.drop("_closed")
+
+    def _home(self, asked: DataFrame) -> DataFrame:
+        """Each query with one node, of the nearest box at every level."""
+
+        def nearest(children: Column) -> Column:
+            gaps = F.transform(children, lambda c: F.struct(_gap(self.tree.features, c).alias("gap"), c["_path"].alias("_path"), c["_closed"].alias("_closed")))
+            best = F.array_min(gaps)
+            return F.array(F.struct(best["_path"].alias("_path"), best["_closed"].alias("_closed")))
+
+        return self._down(asked, nearest)
+
+    def visits(self, reached: DataFrame) -> DataFrame:
+        """Queries with each node but their home whose box lies within ``_reach`` and holds points that count."""
+
+        def touched(children: Column) -> Column:
+            def within(c: Column) -> Column:
+                near = _gap(self.tree.features, c) <= F.col("_reach")
+                if self.tree.exclude is None:
+                    return near
+                own = F.col(self.tree.exclude)
+                return near & ~((c["_least"] == own) & (c["_most"] == own))
+
+            return F.transform(F.filter(children, within), lambda c: F.struct(c["_path"].alias("_path"), c["_closed"].alias("_closed")))
+
+        walked = self._down(reached.withColumnRenamed("_path", "_home"), touched)
+        return walked.where("_path <> _home").drop("_home")
+
+    def _look(self, visits: DataFrame) -> DataFrame:
+        """The k best points within reach that each visit finds in its node.
+
+        A node meets its queries in groups of about ``ASKED_AT_ONCE``, with a copy of its points for each.
+        """
+        tree, key, label, k, leaf_size = self.tree, self.key, self.label, self.k, self.leaf_size
+        features, exclude = list(tree.features), tree.exclude
+        same = [exclude] if exclude else []
+        groups = visits.groupBy("_path").agg(F.ceil(F.count("*") / ASKED_AT_ONCE).cast("int").alias("_groups"))
+        asked = visits.join(groups, "_path").withColumn("_group", F.pmod(F.xxhash64("_query"), F.col("_groups")).cast("int"))
+        points = tree.points.join(groups, "_path").withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+
+        def search(left: pa.Table, right: pa.Table) -> pa.Table:
+            queries, points = (
+                np.column_stack([t.column(c).to_numpy() for c in features]) if t.num_rows else np.zeros((0, len(features))) for t in (left, right)
+            )
+            keys, queried = right.column(key), left.column("_query").to_numpy()
+            query, distance, row = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+            if len(queries) and len(points):
+                reach = None if left.column("_reach").null_count else left.column("_reach").to_numpy()
+                others, not_of = (t.column(exclude).to_numpy() if exclude else None for t in (right, left))
+                (query, distance, _, row), _ = search_node(points, keys.to_numpy(), others, queries, not_of, reach, k, leaf_size)
+            taken = pa.array(row)
+            return pa.table({"_query": queried[query], "distance": distance, key: keys.take(taken), label: right.column(label).take(taken)})
+
+        kinds = {c: tree.points.schema[c].dataType.simpleString() for c in (key, label)}
+        schema = f"_query long, distance double, `{key}` {kinds[key]}, `{label}` {kinds[label]}"
+        left = asked.select("_path", "_group", "_query", "_reach", *same, *features).groupBy("_path", "_group")
+        right = points.select("_path", "_group", key, label, *same, *features).groupBy("_path", "_group")
+        return left.cogroup(right).applyInArrow(search, schema)
+
+    def _reach_by_ancestors(self, lacking: DataFrame) -> DataFrame:
+        """A reach for queries whose home holds too few points that count, from a few points of each node above it.
+
+        A node is represented by up to 2 k points, up to k of one excluded value, so that k are left whichever is
+        excluded.  Without as many points anywhere the reach is infinite; then at most k - 1 nodes hold any that count.
+        """
+        features, exclude, k = self.tree.features, self.tree.exclude, self.k
+        same = [exclude] if exclude else []
+
+        def few(df: DataFrame) -> DataFrame:
+            for by, most in ((["_path", *same], k if same else 2 * k), (["_path"], 2 * k)):
+                place = F.row_number().over(Window.partitionBy(*by).orderBy(self.key))
+                df = df.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+            return df
+
+        upward = F.transform(F.sequence(F.lit(0), F.length("_path")), lambda n: F.substring(F.col("_path"), F.lit(1), n))
+        points = few(self.tree.points.select("_path", self.key, *same, *features))
+        points = few(points.withColumn("_path", F.explode(upward)))
+        nodes = points.groupBy("_path").agg(F.collect_list(F.struct(*same, *features)).alias("_few"))
+        counting = F.filter("_few", lambda p: p[exclude] != F.col(exclude)) if exclude else F.col("_few")
+
+        def square(p: Column) -> Column:
+            return reduce(Column.__add__, [(F.col(c) - p[c]) * (F.col(c) - p[c]) for c in features])
+
+        reach = F.get(F.sort_array(F.transform(counting, square)), F.lit(k - 1))
+        asked = lacking.withColumnRenamed("_path", "_home").withColumn("_path", F.explode(F.expr("transform(sequence(0, length(_home)), n -> substring(_home, 1, n))")))
+        found = asked.join(nodes, "_path").groupBy("_query").agg(F.min(reach).alias("_reach"))
+        return lacking.join(found, "_query").withColumn("_reach", F.coalesce("_reach", F.lit(float("inf"))))
