@@ -56,7 +56,10 @@ def nearest_votes(
     search = Search(build_tree(points, features, exclude, max(node_size, 2 * k)), label, key, k, tile_size)
     # Equal queries are asked once.
     asked = queries.select(*same, *_numbers(features)).dropna(subset=list(features)).distinct()
-    asked = write_table(asked.withColumn("_query", F.monotonically_increasing_id()), "queries")
+    # Little data but much work per row: spread over all tasks.
+    spark = asked.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    asked = write_table(asked.repartition(tasks).withColumn("_query", F.monotonically_increasing_id()), "queries")
     votes = search.closest(asked).groupBy("_query").agg(F.mode(label, True).alias("prediction"))
     answers = asked.join(votes, "_query").drop("_query")
     on = [*features, *same]
@@ -252,41 +255,36 @@ class Search:
         place = F.row_number().over(Window.partitionBy("_query").orderBy("distance", self.key))
         return inside.unionByName(more).withColumn("_place", place).where(F.col("_place") <= self.k).drop("_place")
 
-    def _down(self, asked: DataFrame, choose: Callable[[Column], Column]) -> DataFrame:
-        """Walk down the levels; ``choose`` makes of a node's children the array of those to go on to."""
+    def _down(self, asked: DataFrame, onward: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Walk down the levels; ``onward`` gives each open row the ``_next`` boxes to go on to, of ``_children``."""
         at = asked.withColumns({"_path": F.lit(""), "_closed": F.lit(False)})
         for depth, level in enumerate(self.tree.levels):
             # The first two tables are one row of at most 2 CUTS + 1 boxes.
             level = F.broadcast(level) if depth < 2 else level
-            at = at.join(level, F.when(~F.col("_closed"), F.col("_path")) == F.col("_parent"), "left")
-            here = F.array(F.struct("_path", "_closed"))
-            onward = F.when(F.col("_closed"), here).otherwise(choose(F.coalesce("_children", F.array())))
-            at = at.withColumn("_next", F.explode(onward)).drop("_parent", "_children")
-            at = at.withColumns({"_path": F.col("_next._path"), "_closed": F.col("_next._closed")}).drop("_next")
+            at = at.join(level, F.when(~F.col("_closed"), F.col("_path")) == F.col("_parent"), "left").drop("_parent")
+            at = onward(at).drop("_children")
+            at = at.withColumns({c: F.coalesce(F.col("_next")[c], F.col(c)) for c in ("_path", "_closed")}).drop("_next")
         return at.drop("_closed")
 
     def _home(self, asked: DataFrame) -> DataFrame:
         """Each query with one node, of the nearest box at every level."""
 
-        def nearest(children: Column) -> Column:
-            gaps = F.transform(children, lambda c: F.struct(_gap(self.tree.features, c).alias("gap"), c["_path"].alias("_path"), c["_closed"].alias("_closed")))
-            best = F.array_min(gaps)
-            return F.array(F.struct(best["_path"].alias("_path"), best["_closed"].alias("_closed")))
+        def nearest(at: DataFrame) -> DataFrame:
+            gaps = F.transform("_children", lambda c: F.struct(_gap(self.tree.features, c).alias("gap"), c["_path"].alias("_path"), c["_closed"].alias("_closed")))
+            return at.withColumn("_next", F.array_min(gaps))
 
         return self._down(asked, nearest)
 
     def visits(self, reached: DataFrame) -> DataFrame:
         """Queries with each node but their home whose box lies within ``_reach`` and holds points that count."""
 
-        def touched(children: Column) -> Column:
-            def within(c: Column) -> Column:
-                near = _gap(self.tree.features, c) <= F.col("_reach")
-                if self.tree.exclude is None:
-                    return near
+        def touched(at: DataFrame) -> DataFrame:
+            box = F.col("_next")
+            counts = _gap(self.tree.features, box) <= F.col("_reach")
+            if self.tree.exclude is not None:
                 own = F.col(self.tree.exclude)
-                return near & ~((c["_least"] == own) & (c["_most"] == own))
-
-            return F.transform(F.filter(children, within), lambda c: F.struct(c["_path"].alias("_path"), c["_closed"].alias("_closed")))
+                counts = counts & ~((box["_least"] == own) & (box["_most"] == own))
+            return at.withColumn("_next", F.explode_outer("_children")).where(F.col("_closed") | counts)
 
         walked = self._down(reached.withColumnRenamed("_path", "_home"), touched)
         return walked.where("_path <> _home").drop("_home")
