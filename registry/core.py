@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfrank.operators.clean import fence_report, fill_gaps, fit_fences, fit_fillings, within_fences
 from shelfrank.operators.order_stats import quantiles
 from shelfrank.operators.score import fit_scaler, with_composite_score
-from shelfrank.operators.models import comparison_models, naive_bayes, nearest_neighbours
+from shelfrank.operators.models import comparison_models, extended_models, naive_bayes, nearest_neighbours
 from shelfrank.operators.select import analysis_columns, feature_columns
 from shelfrank.operators.variants import BASE_FEATURES, CARRIED, DISPLAY_NAMES, LABEL_COLUMNS, Variant, attach_labels
 from shelfrank.plans.products import NUMERIC, products
@@ -20,6 +20,8 @@ from shelfrank.session import write_table
 
 #: Labelled rows that the registered forests and machines are fitted on; all rows are predicted.
 FIT_ROWS = 2000
+#: The same for the cross-validated grid of five models, which fits each of them six times on every variant.
+GRID_FIT_ROWS = 400
 #: A limit so small that order statistics take the way of a very large table.
 NARROW = 500
 
@@ -131,6 +133,11 @@ class Tables:
         """The three-model comparison on all variants."""
         return run_study(self.variants, comparison_models(FIT_ROWS))
 
+    @cached_property
+    def extended(self) -> StudyResults:
+        """The cross-validated five-model comparison on all variants."""
+        return run_study(self.variants, extended_models(GRID_FIT_ROWS), cross_validate=True, parallel=8)
+
     @cached_property
     def train_importances(self) -> DataFrame:
         return study_importances(self.variants, trees=50, rows=train_rows, fit_rows=FIT_ROWS)

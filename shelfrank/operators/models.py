@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 from shelfrank.operators.naive_bayes import cross_predict_naive_bayes, fit_naive_bayes
 from shelfrank.operators.neighbours import nearest_votes
 from shelfrank.operators.split import DRAWS, FOLDS, SEED, draw
+from shelfrank.session import write_table
 
 MAX_DEPTH = 30
 MAX_BINS = 256
 # Statistics of the open nodes held per task; more of them means fewer passes over the rows.
 NODE_MEMORY_MB = 1024
+# Rows of a bounded sample that one task holds.
+ROWS_PER_TASK = 50_000
 
 
 def bounded_rows(train: DataFrame, fit_rows: int | None, key: str = "row_id") -> DataFrame:
@@ -169,31 +173,47 @@ class Classifier:
     cross_predict: CrossPredict
 
 
-def _by_folds(predict: Predict) -> CrossPredict:
-    def cross_predict(train: DataFrame, features: Sequence[str]) -> DataFrame:
-        parts = [
-            predict(train.where(F.col("fold") != f), train.where(F.col("fold") == f), features) for f in range(FOLDS)
-        ]
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-        return result
+Fit = Callable[[DataFrame, Sequence[str]], Callable[[DataFrame], DataFrame]]
 
-    return cross_predict
 
+def _bounded(name: str, fit_rows: int | None, fit: Fit) -> Classifier:
+    """A classifier whose model is fitted on about ``fit_rows`` rows.
+
+    All left-out folds are fitted from one sample, drawn and written once: a fold's model sees the sample's rows of the
+    other folds.  The large table is read once to draw and once per fold to predict.
+    """
+
+    def drawn(train, *columns):
+        sample = bounded_rows(train, fit_rows).select(*columns)
+        # MLlib runs dozens of jobs over the sample; a small one is one task each.
+        return write_table(sample if fit_rows is None else sample.coalesce(-(-fit_rows // ROWS_PER_TASK)), "sample")
 
-def decision_tree(name: str = "Decision Tree", fit_rows: int | None = None, **options) -> Classifier:
     def predict(train, rows, features):
-        return _predicted(fit_decision_tree(bounded_rows(train, fit_rows), features, **options), rows)
+        return fit(drawn(train, "label", *features), features)(rows)
+
+    def cross_predict(train, features):
+        sample = drawn(train, "fold", "label", *features)
+        models = [fit(sample.where(F.col("fold") != f), features) for f in range(FOLDS)]
+        parts = [model(train.where(F.col("fold") == f)) for f, model in enumerate(models)]
+        return reduce(DataFrame.unionByName, parts)
+
+    return Classifier(name, predict, cross_predict)
 
-    return Classifier(name, predict, _by_folds(predict))
+
+def decision_tree(name: str = "Decision Tree", fit_rows: int | None = None, **options) -> Classifier:
+    def fit(train, features):
+        model = fit_decision_tree(train, features, **options)
+        return lambda rows: _predicted(model, rows)
+
+    return _bounded(name, fit_rows, fit)
 
 
 def random_forest(name: str = "Random Forest", trees: int = 100, fit_rows: int | None = None, **options) -> Classifier:
-    def predict(train, rows, features):
-        return _predicted(fit_forest(bounded_rows(train, fit_rows), features, trees=trees, **options), rows)
+    def fit(train, features):
+        model = fit_forest(train, features, trees=trees, **options)
+        return lambda rows: _predicted(model, rows)
 
-    return Classifier(name, predict, _by_folds(predict))
+    return _bounded(name, fit_rows, fit)
 
 
 def nearest_neighbours(name: str = "KNN") -> Classifier:
@@ -213,10 +233,7 @@ def naive_bayes(name: str = "Naive Bayes") -> Classifier:
 
 
 def kernel_machine(name: str = "SVM", fit_rows: int | None = None, **options) -> Classifier:
-    def predict(train, rows, features):
-        return fit_kernel_machine(bounded_rows(train, fit_rows), features, **options).transform(rows)
-
-    return Classifier(name, predict, _by_folds(predict))
+    return _bounded(name, fit_rows, lambda train, features: fit_kernel_machine(train, features, **options).transform)
 
 
 def comparison_models(fit_rows: int | None = None) -> list[Classifier]:
