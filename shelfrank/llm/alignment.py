@@ -13,6 +13,7 @@ the chunk's pairs and go back to the chunk as one list.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -30,15 +31,16 @@ from shelfrank.session import write_table
 
 #: Text bytes of a chunk; a longer document is a chunk.
 CHUNK_BYTES = 1 << 22
+SLICE_BYTES = 1 << 19
 #: Words given to a tokenizer at once, whose own records of them are many times their size.
-AT_ONCE = 2048
+AT_ONCE = 1024
 #: Words and their bytes remembered by a task, beyond which it starts afresh with the next chunk.
 REMEMBERED, REMEMBERED_BYTES = 200_000, 1 << 23
 SPACE_MARK = "▁"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 DIGITS = 6
 #: (document, pair) entries that are told apart at once.
-ENTRIES = 1 << 22
+ENTRIES = 1 << 19
 #: Bytes that surely end no white space: ASCII signs.
 _SOLID = np.zeros(256, dtype=bool)
 _SOLID[33:127] = True
@@ -74,6 +76,8 @@ class ByteLevelTokens:
     """Ids by a byte-level tokenizer file, whose pieces end before a space that follows a sign."""
 
     def __init__(self, path: str) -> None:
+        # Tasks already take all cores; threads of its own would only cost memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -405,7 +409,7 @@ def _describe(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int) -> Da
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, chunk = _Chunk(Words(a_path, b_path)), TaskContext.get().partitionId() << 32
         for batch in batches:
-            for low, high, data, offsets in slices(batch.column(1)):
+            for low, high, data, offsets in slices(batch.column(1), SLICE_BYTES):
                 held.add(batch.column(0).slice(low, high - low), data, offsets)
                 if held.size >= chunk_bytes:
                     yield from held.close(chunk)
