@@ -25,6 +25,10 @@ DISPLAY_NAMES = {
 }
 FLAG_FEATURE = "is_new_numeric"
 
+# The descriptions of the extended study's variants.
+ORIGINAL_DESCRIPTION = "Original features only"
+CLUSTER_DESCRIPTION = "Original features + {} clustering"
+
 # Columns a variant carries beside its features and category, where the base table has them.
 CARRIED = ("row_id", "label", "is_test", "fold")
 
@@ -75,7 +79,13 @@ def _repeats_keys(labels: DataFrame, key: str) -> bool:
 
 
 def attach_left(base: DataFrame, labels: DataFrame, column: str, key: str = "row_id") -> DataFrame:
-    """Attach a label where there is one, NULL elsewhere."""
+    """Attach a label where there is one, NULL elsewhere; labels that repeat a key are refused, as they would multiply rows."""
+    if _repeats_keys(labels, key):
+        raise LabelError(f"{column}: labels repeat a key")
+    return _attached(base, labels, column, key)
+
+
+def _attached(base: DataFrame, labels: DataFrame, column: str, key: str) -> DataFrame:
     return base.join(labels.select(key, column), key, "left")
 
 
@@ -103,7 +113,7 @@ def attach_labels(
         elif _repeats_keys(table, key):
             log.warning("%s: labels repeat a key", method)
             continue
-        wide = attach_left(wide, table, column, key)
+        wide = _attached(wide, table, column, key)
         attached.append(method)
     return wide, attached
 
@@ -136,12 +146,12 @@ def extended_variants(
         features = (*features, FLAG_FEATURE)
     wide, attached = attach_labels(base, labels, require_equal=False)
     wide = write_table(wide, "wide")
-    return [_variant("original", features, wide, "Original features only")] + [
+    return [_variant("original", features, wide, ORIGINAL_DESCRIPTION)] + [
         _variant(
             f"with_{m}",
             (*features, LABEL_COLUMNS[m]),
             wide,
-            f"Original features + {m.upper()} clustering",
+            CLUSTER_DESCRIPTION.format(m.upper()),
         )
         for m in attached
     ]

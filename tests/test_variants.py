@@ -1,0 +1,11 @@
+import pytest
+
+from shelfrank.operators.variants import LabelError, attach_left
+
+
+def test_repeated_labels_are_refused(spark):
+    base = spark.createDataFrame([(0, 1.0), (1, 2.0)], "row_id long, x double")
+    labels = spark.createDataFrame([(0, 1), (0, 2)], "row_id long, cluster int")
+    with pytest.raises(LabelError):
+        attach_left(base, labels, "cluster")
+    assert sorted(map(tuple, attach_left(base, labels.limit(1), "cluster").collect()))[1] == (1, 2.0, None)
