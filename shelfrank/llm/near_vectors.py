@@ -24,8 +24,6 @@ RECALL = 0.97
 CHANCE_MATES = 8
 BLOCK_ROWS = 1024
 SHARD_ROWS = 8192
-#: Smallest sum of two decimal rounding errors that cosines in double precision can show.
-SLACK = 1e-12
 
 
 def collision_chance(distance: float, width: float = WIDTH) -> float:
@@ -96,7 +94,7 @@ def _compare(group: pd.DataFrame, tables: Tables, cosine: float) -> tuple[np.nda
     unit = np.stack(group["unit"].to_numpy())
     table, first, second = (int(group[c].iloc[0]) for c in ("table", "first", "second"))
     side = group["block"].to_numpy()
-    near = unit @ unit.T >= cosine - SLACK
+    near = unit @ unit.T >= cosine
     np.fill_diagonal(near, False)
     if first != second:
         near &= side[:, None] != side[None, :]
