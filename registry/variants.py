@@ -16,6 +16,8 @@ from shelfrank.operators.variants import (
     comparison_variants,
     extended_variants,
 )
+from shelfrank.session import scratch_path
+from shelfrank.sources import scan_in_order, write_csv
 
 _BASE = "row_id, current_price, discount, likes_count, category"
 
@@ -29,6 +31,23 @@ def attach(t):
     return attach_equal(base, t.labels["kmeans"], "kmeans_cluster")
 
 
+@query(
+    "h1_by_position",
+    with_tables(f"SELECT {_BASE}, kmeans_cluster FROM normalised JOIN labels_kmeans USING (row_id)"),
+)
+def attach_by_position(t):
+    """Base and labels go to files without a common key and meet by their position in them."""
+    folder = scratch_path(t.spark, "by-position")
+    base = t.normalised.select(F.col("row_id").alias("product"), "current_price", "discount", "likes_count", "category")
+    write_csv(base.orderBy("product"), f"{folder}/base")
+    write_csv(t.labels["kmeans"].orderBy("row_id").select("kmeans_cluster"), f"{folder}/labels")
+    read = scan_in_order(t.spark, f"{folder}/base", name="position")
+    labels = scan_in_order(t.spark, f"{folder}/labels", name="position")
+    labels = labels.withColumn("kmeans_cluster", F.col("kmeans_cluster").cast("int"))
+    joined = attach_equal(read, labels, "kmeans_cluster", key="position")
+    return joined.withColumnRenamed("product", "row_id").drop("position")
+
+
 def _early(t: Tables):
     """Labels for the first nine tenths of the positions only."""
     last = t.products.agg(F.max("row_id")).first()[0]

@@ -4,6 +4,7 @@ from shelfrank.sources.csv_files import (
     parse_columns,
     read_tables,
     scan_csv,
+    scan_in_order,
     scan_present,
     write_csv,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "parse_columns",
     "read_tables",
     "scan_csv",
+    "scan_in_order",
     "scan_present",
     "union_all_by_name",
     "with_row_id",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfrank.functions import nan_to_null
-from shelfrank.sources.stack import union_all_by_name
+from shelfrank.sources.stack import union_all_by_name, with_scan_place, with_scan_position
 
 log = logging.getLogger(__name__)
 
@@ -60,6 +60,24 @@ def _read_text(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     )
 
 
+def scan_in_order(
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None, name: str = "row_id"
+) -> DataFrame:
+    """``scan_csv`` with the position 0..n-1 of each row in its files.
+
+    Paths come in the order given, the files of a folder in the order of their part numbers, others
+    by name, rows as they stand in their file.  Files without rows take no position.  A column
+    of the files called ``name`` is refused.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    frames = [_read_text(spark, p, _cells_span_lines(spark, p)) for p in paths]
+    if any(name in f.columns for f in frames) or (schema is not None and name in schema.names):
+        raise ValueError(f"the files have a column {name} of their own")
+    numbered = with_scan_position(union_all_by_name([with_scan_place(f, i) for i, f in enumerate(frames)]), name)
+    types = schema or inferred_schema(numbered.drop(name))
+    return numbered.select(*_parsed(numbered, types), name)
+
+
 def scan_present(
     spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:
@@ -137,20 +155,25 @@ def _parse(column: Column, data_type: T.DataType) -> Column:
     return nan_to_null(parsed) if isinstance(data_type, T.FractionalType) else parsed
 
 
+def _parsed(text: DataFrame, schema: T.StructType) -> list[Column]:
+    return [
+        (_parse(_named(f.name), f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema
+    ]
+
+
 def parse_columns(text: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast string columns to ``schema``; NA tokens and missing columns give NULL."""
-    return text.select(
-        *[
-            (_parse(_named(f.name), f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(
-                f.name
-            )
-            for f in schema
-        ]
-    )
+    return text.select(*_parsed(text, schema))
 
 
 def infer_types(text: DataFrame) -> DataFrame:
     """Give each string column the narrowest of long, double, boolean and string that fits all cells."""
+    return parse_columns(text, inferred_schema(text))
+
+
+def inferred_schema(text: DataFrame) -> T.StructType:
+    """The types ``infer_types`` gives, found in one pass over the cells."""
     tried = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
     checks = []
     for i, name in enumerate(text.columns):
@@ -164,7 +187,7 @@ def infer_types(text: DataFrame) -> DataFrame:
         # Empty columns are numeric, as in a reader that stores gaps as NaN.
         default = T.StringType() if counts[f"{i}|n"] else T.DoubleType()
         fields.append(T.StructField(name, fits[0] if fits else default))
-    return parse_columns(text, T.StructType(fields))
+    return T.StructType(fields)
 
 
 def write_csv(df: DataFrame, path: str, leading: Sequence[str] = ()) -> None:

@@ -8,6 +8,7 @@ from shelfrank.sources import (
     parse_columns,
     read_tables,
     scan_csv,
+    scan_in_order,
     scan_present,
     union_all_by_name,
     with_row_id,
@@ -95,3 +96,30 @@ def test_written_csv_reads_back(spark, tmp_path):
     back = scan_csv(spark, path)
     assert back.columns == ["x", "k", "t"]
     assert sorted(back.select("k", "t", "x").collect()) == sorted(rows)
+
+
+def test_positions_over_paths_files_and_blocks(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    # Part numbers of six digits sort after those of five; a file without rows takes no position.
+    for part, rows in ((99999, range(0, 700)), (100000, range(700, 1500)), (100001, ()), (100002, range(1500, 1501))):
+        _file(folder, f"part-{part}-x.csv", "v,row\n" + "".join(f"{i},r{i % 7}\n" for i in rows))
+    last = _file(tmp_path, "a.csv", "row,v,extra\n" + "".join(f"s,{i},NA\n" for i in range(1501, 1600)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        found = scan_in_order(spark, [str(folder), last])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert found.columns == ["v", "row", "extra", "row_id"]
+    rows = found.orderBy("row_id").collect()
+    assert [(r.row_id, r.v) for r in rows] == [(i, i) for i in range(1600)]
+    assert all(r.extra is None for r in rows)
+
+
+def test_positions_with_line_breaks_empty_files_and_clashes(spark, tmp_path):
+    broken = _file(tmp_path, "b.csv", 'v\n"one\nline"\ntwo\n')
+    assert [tuple(r) for r in scan_in_order(spark, broken).orderBy("row_id").collect()] == [("one\nline", 0), ("two", 1)]
+    assert scan_in_order(spark, _file(tmp_path, "e.csv", "v\n")).collect() == []
+    with pytest.raises(ValueError):
+        scan_in_order(spark, _file(tmp_path, "c.csv", "v,row_id\n1,2\n"))
