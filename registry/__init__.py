@@ -2,6 +2,6 @@
 
 from registry.core import ORACLES, QUERIES
 
-from registry import sources, profile, select, clean, score, rank, variants, study, results, models  # noqa: F401, E402, I001
+from registry import sources, profile, select, clean, score, rank, variants, study, results, models, jobs  # noqa: F401, E402, I001
 
 __all__ = ["ORACLES", "QUERIES"]
