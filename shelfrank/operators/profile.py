@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,11 +51,17 @@ def total_nulls(df: DataFrame) -> DataFrame:
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values per column, NULL not counted.
 
-    The exact form shuffles the distinct values of every column; the
-    approximate one needs a single pass and no such shuffle.
+    The exact form groups each column by itself: counting all in one aggregate would copy every row once per
+    column.  Each count scans only its own column, so ``df`` should be a written table.  The
+    approximate form needs a single pass and no shuffle of values.
     """
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return _long_form(df, {c: {"distinct_count": count(F.col(c))} for c in df.columns})
+    if approximate:
+        return _long_form(df, {c: {"distinct_count": F.approx_count_distinct(F.col(c))} for c in df.columns})
+    counts = [
+        df.select(F.col(c).alias("value")).agg(F.lit(c).alias("column_name"), F.count_distinct("value").alias("distinct_count"))
+        for c in df.columns
+    ]
+    return reduce(DataFrame.union, counts)
 
 
 def _as_number(field: T.StructField) -> F.Column:

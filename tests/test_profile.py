@@ -11,6 +11,16 @@ def test_nulls_distincts_and_ranges(spark):
     assert {r[0]: r[1:] for r in profile.ranges(df).collect()} == {"n": (1.0, 3.0), "b": (0.0, 1.0)}
 
 
+def test_distinct_counts_copy_no_rows_and_read_a_column_each(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 AS k", "cast(id % 3 AS string) AS s").write.parquet(str(tmp_path / "t"))
+    counts = profile.distinct_counts(spark.read.parquet(str(tmp_path / "t")))
+    assert dict(counts.collect()) == {"id": 100, "k": 7, "s": 3}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    for schema in ("ReadSchema: struct<id:bigint>", "ReadSchema: struct<k:bigint>", "ReadSchema: struct<s:string>"):
+        assert schema in plan
+
+
 def test_value_counts_drop_null_and_break_ties(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("c",)], "k string")
     assert profile.value_counts(df, "k").collect() == [("c", 2), ("a", 1), ("b", 1)]
