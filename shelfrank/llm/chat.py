@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.llm.arrays import bind, blocks, cut, running
+
 TURN = "<|turn|>"
 BODY = "<|body|>"
 END = "<|end|>"
@@ -78,19 +80,21 @@ def format_chats(messages: DataFrame) -> DataFrame:
     turns = F.array_sort(F.collect_list(F.struct("turn", "role", "body", "head", "attached")))
     chats = rows.groupBy("conv_id").agg(turns.alias("turns"))
 
-    def lay(acc, t):
-        start = acc["at"] + F.length(t["head"])
-        span = F.struct(start.alias("start"), F.length(t["body"]).alias("length"))
-        spans = F.when(t["role"] == LOSS_ROLE, F.concat(acc["mask"], F.array(span))).otherwise(acc["mask"])
-        return F.struct((start + F.length(t["body"]) + len(END)).alias("at"), spans.alias("mask"))
+    def lay(at, t):
+        start = at + F.length(t["head"])
+        span = F.struct(start.alias("start"), F.length(t["body"]).alias("length"), (t["role"] == LOSS_ROLE).alias("loss"))
+        return start + F.length(t["body"]) + len(END), span
 
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,length:int>>)").alias("mask"))
+    spans = running(F.col("turns"), F.lit(0), lay, "struct<start:int,length:int,loss:boolean>")
+    mask = F.transform(
+        F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"))
+    )
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "")
     chats = chats.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         whole.alias("formatted"),
-        F.aggregate("turns", start, lay)["mask"].alias("mask"),
+        mask.alias("mask"),
         F.flatten(F.transform("turns", lambda t: t["attached"])).alias("attachments"),
     )
     total = F.aggregate("attachments", F.lit(0).cast("long"), lambda a, x: a + x["tokens"])
@@ -116,5 +120,8 @@ def read_turns(formatted: Column) -> Column:
 
 def loss_text(formatted: Column, mask: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between the spans."""
-    pieces = F.transform(mask, lambda s: _plain(F.substring(formatted, s["start"] + 1, s["length"])))
-    return F.array_join(pieces, "")
+
+    def read(parts):
+        return F.transform(mask, lambda s: _plain(cut(parts, s["start"], s["length"])))
+
+    return F.array_join(bind(blocks(formatted), read), "")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfrank.llm.arrays import bind, blocks, cut, running
+
 # The patterns of the four base kinds.  Their quantifiers are possessive where the
 # next character can never belong to the repeated class, which changes no match but needs no
 # backtracking on very long texts.  A match may start only at a run's first character or where
@@ -40,47 +42,24 @@ CONTEXT_BONUS = 0.4
 KEEP_FROM = 0.6
 
 
-#: Matches whose positions are summed up together; longer lists go in groups of this size.
-GROUP = 256
+_MATCH = "struct<s:int,e:int,m:string>"
 
 
 def _matches(text: Column, pattern: str) -> Column:
     """Matches as (s, e, m): start, end in code points and the matched text.
 
-    The pieces between matches and the matches alternate, so positions are running sums of
-    lengths.  They are summed in groups, as one appended list would be copied for every match.
+    The pieces between matches and the matches alternate, so positions are running sums of lengths.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     both = F.zip_with(found, F.split(text, pattern, -1), lambda m, b: F.struct(b.alias("b"), m.alias("m")))
     both = F.filter(both, lambda x: x["m"].isNotNull())
-    last = F.floor((F.size(both) - 1) / GROUP).cast("int")
-    groups = F.when(
-        F.size(both) > 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(both, i * GROUP + 1, GROUP))
-    ).otherwise(F.expr("cast(array() as array<array<struct<b:string,m:string>>>)"))
-    return F.flatten(F.zip_with(groups, _starts(groups), _walk))
-
-
-def _starts(groups: Column) -> Column:
-    """The position at which each group begins."""
-    total = lambda g: F.aggregate(g, F.lit(0), lambda a, x: a + F.length(x["b"]) + F.length(x["m"]))
-    empty = F.expr("cast(array() as array<int>)")
-    return F.aggregate(
-        F.transform(groups, total),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
-    )["out"]
 
-
-def _walk(group: Column, base: Column) -> Column:
-    empty = F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["b"])
+    def place(at, x):
+        start = at + F.length(x["b"])
         end = start + F.length(x["m"])
-        span = F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        return end, F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m"))
 
-    return F.aggregate(group, F.struct(base.alias("at"), empty.alias("out")), step)["out"]
+    return running(both, F.lit(0), place, _MATCH)
 
 
 def _digits(match: Column) -> Column:
@@ -127,7 +106,7 @@ CONTEXT_WORDS = {
 }
 
 
-def _accounts(text: Column) -> Column:
+def _accounts(text: Column, parts: Column) -> Column:
     """Account codes passing mod-97 as (s, e, m), leftmost first, none inside another.
 
     A following word or number may look like a part of the code, so every end where a word ends is tried:
@@ -138,15 +117,22 @@ def _accounts(text: Column) -> Column:
     patterns = [rf"^{start}[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n}}}(?![A-Za-z0-9])" for start, n in ends]
 
     def whole(x):
-        rest = F.substring(text, x["s"] + 1, F.lit(6 + 2 * IBAN_REST[0]))
+        rest = cut(parts, x["s"], F.lit(6 + 2 * IBAN_REST[0]))
         tried = F.array(*[F.regexp_extract(rest, p, 0) for p in patterns])
         code = F.get(F.filter(tried, lambda c: mod97_valid(F.replace(c, F.lit(" "), F.lit("")))), F.lit(0))
         return F.struct(x["s"].alias("s"), (x["s"] + F.length(code)).alias("e"), code.alias("m"))
 
     found = F.filter(F.transform(_matches(text, IBAN), whole), lambda x: x["m"].isNotNull())
-    empty = F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
-    free = lambda out, x: (F.size(out) == 0) | (F.element_at(out, -1)["e"] <= x["s"])
-    return F.aggregate(found, empty, lambda out, x: F.when(free(out, x), F.concat(out, F.array(x))).otherwise(out))
+
+    def leftmost(at, x):
+        free = at <= x["s"]
+        return F.when(free, x["e"]).otherwise(at), F.struct(x.alias("x"), free.alias("free"))
+
+    chosen = running(found, F.lit(0), leftmost, f"struct<x:{_MATCH},free:boolean>")
+    return F.transform(F.filter(chosen, lambda c: c["free"]), lambda c: c["x"])
+
+
+_SPAN = "struct<start:int,rank:int,end:int,kind:string,score:double,base:boolean>"
 
 
 def _spans(text: Column, name: str, rank: int) -> Column:
@@ -155,22 +141,44 @@ def _spans(text: Column, name: str, rank: int) -> Column:
         pattern, kind, words, score = BASE[name], name, CONTEXT_WORDS[name], SCORES[name]
     else:
         pattern, kind, words, score = PROPOSED[name]
-    found = _accounts(text) if name == "iban" else F.filter(_matches(text, pattern), lambda x: CONFIRMED[name](x["m"]))
+    accept = lambda x: CONFIRMED[name](x["m"])
 
-    def span(x):
+    def span(x, parts):
         low = F.greatest(x["s"] - CONTEXT, F.lit(0))
-        near = F.concat_ws(
-            " ", F.substring(text, low + 1, x["s"] - low), F.substring(text, x["e"] + 1, F.lit(CONTEXT))
-        )
+        near = F.concat_ws(" ", cut(parts, low, x["s"] - low), cut(parts, x["e"], F.lit(CONTEXT)))
         sure = F.lit(score) + F.when(F.lower(near).rlike(words), F.lit(CONTEXT_BONUS)).otherwise(F.lit(0.0))
         return F.struct(
             x["s"].alias("start"), F.lit(rank).alias("rank"), x["e"].alias("end"), F.lit(kind).alias("kind"),
             F.least(sure, F.lit(1.0)).alias("score"), F.lit(name in BASE).alias("base"),
         )
 
-    empty = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,score:double,base:boolean>>)")
+    def read(parts):
+        found = _accounts(text, parts) if name == "iban" else F.filter(_matches(text, pattern), accept)
+        return F.transform(found, lambda x: span(x, parts))
+
     there = text.contains(NEEDED[name]) if name in NEEDED else text.rlike("[0-9]")
-    return F.when(there, F.transform(found, span)).otherwise(empty)
+    return F.when(there, bind(blocks(text), read)).otherwise(F.expr(f"cast(array() as array<{_SPAN}>)"))
+
+
+def _without_clashes(spans: Column) -> Column:
+    """Base spans, and added ones that overlap none of them; ``spans`` is sorted by start, base spans first.
+
+    One pass sees whether an earlier base span reaches into a span, one from the end whether a later one begins in it.
+    """
+    kind = f"struct<x:{_SPAN},clash:boolean>"
+
+    def forth(reach, x):
+        after = F.when(x["base"], F.greatest(reach, x["end"])).otherwise(reach)
+        return after, F.struct(x.alias("x"), (reach > x["start"]).alias("clash"))
+
+    def back(begin, m):
+        x = m["x"]
+        after = F.when(x["base"], F.least(begin, x["start"])).otherwise(begin)
+        return after, F.struct(x.alias("x"), (m["clash"] | (begin < x["end"])).alias("clash"))
+
+    marked = running(F.reverse(running(spans, F.lit(0), forth, kind)), F.lit((1 << 31) - 1), back, kind)
+    kept = F.filter(F.reverse(marked), lambda m: m["x"]["base"] | ~m["clash"])
+    return F.transform(kept, lambda m: m["x"])
 
 
 def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
@@ -190,15 +198,10 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     parts = {f"_pii_{n}": _spans(whole, n, i) for i, n in enumerate(names)}
     rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in parts.items()])
     base = F.concat(*[F.col(f"_pii_{n}") for n in BASE])
-    more = F.concat(*[F.col(f"_pii_{n}") for n in PROPOSED])
+    more = F.filter(F.concat(*[F.col(f"_pii_{n}") for n in PROPOSED]), lambda x: x["score"] >= KEEP_FROM)
     rows = rows.withColumns({"_pii_base": base, "_pii_more": more})
-
-    def fits(x):
-        clash = F.exists(F.col("_pii_base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-        return (x["score"] >= KEEP_FROM) & ~clash
-
-    kept = F.filter(F.col("_pii_more"), fits)
-    found = F.array_sort(F.concat(F.col("_pii_base"), kept))
+    both = _without_clashes(F.array_sort(F.concat("_pii_base", "_pii_more")))
+    found = F.when(F.size("_pii_more") == 0, F.array_sort("_pii_base")).otherwise(both)
     return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != into], found.alias(into))
 
 
@@ -209,19 +212,18 @@ def mask_pii(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     rows = find_pii(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")), "text", "_pii")
 
-    def step(acc, x):
-        low = F.greatest(acc["at"], x["start"])
-        fresh = x["start"] >= acc["at"]
-        mask = F.when(fresh, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">"))).otherwise(F.lit(""))
-        piece = F.concat(F.substring("text", acc["at"] + 1, low - acc["at"]), mask)
-        return F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], F.array(piece)).alias("out")
-        )
+    def replaced(parts):
+        def step(at, x):
+            low = F.greatest(at, x["start"])
+            mask = F.when(x["start"] >= at, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">"))).otherwise(F.lit(""))
+            end = F.greatest(at, x["end"])
+            return end, F.struct(F.concat(cut(parts, at, low - at), mask).alias("piece"), end.alias("at"))
+
+        return running(F.col("_pii"), F.lit(0), step, "struct<piece:string,at:int>")
 
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    rows = rows.withColumn("done", F.when(F.size("_pii") > 0, F.aggregate("_pii", start, step)))
-    tail = F.substring("text", F.col("done.at") + 1, F.length("text"))
-    masked = F.concat(F.array_join("done.out", ""), tail)
+    rows = rows.withColumn("done", F.when(F.size("_pii") > 0, bind(blocks(F.col("text")), replaced)))
+    tail = F.substring("text", F.element_at("done", -1)["at"] + 1, F.length("text"))
+    masked = F.concat(F.array_join(F.transform("done", lambda d: d["piece"]), ""), tail)
     rows = rows.withColumn("text", F.when(F.col("done").isNotNull(), masked).otherwise(F.col("text")))
     changed = {text: F.col("text"), "n_chars": F.length("text").cast("long")}
     return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
