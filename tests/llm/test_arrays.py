@@ -66,3 +66,10 @@ def test_added_spans_beside_base_spans(spark):
             assert [s["start"] for s in r["pii"]] == [m.start() for m in re.finditer("555", texts[1])]
         if r["i"] == 2:
             assert len(r["pii"]) == 300
+
+
+def test_masks_of_many_spans(spark):
+    texts = ["tel 555-123-4567 " * 600, "日本𝄞 a@b.cd, é " * 700, "x" * 5000 + " 10.0.0.1 " + "y" * 5000 + " a@b.cd"]
+    masked = ["tel <PHONE> " * 600, "日本𝄞 <EMAIL>, é " * 700, "x" * 5000 + " <IP> " + "y" * 5000 + " <EMAIL>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    assert [r["text"] for r in mask_pii(docs).orderBy("i").collect()] == masked
