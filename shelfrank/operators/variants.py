@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,39 +50,47 @@ class LabelError(ValueError):
 
 def attach_equal(base: DataFrame, labels: DataFrame, column: str, key: str = "row_id") -> DataFrame:
     """Attach a label to each row; the two tables must have equally many rows."""
-    n_base = base.count()
-    fault = _label_fault(base, labels, key, n_base)
+    fault = _label_faults(base, {column: labels}, key, one_to_one=True)[column]
     if fault:
         raise LabelError(f"{column}: {fault}")
     return base.join(labels.select(key, column), key)
 
 
-def _label_fault(base: DataFrame, labels: DataFrame, key: str, n_base: int) -> str | None:
-    """Why labels do not stand one to one with the base rows: another length, repeated or unknown keys."""
-    own = base.select(key).withColumn("known", F.lit(1))
-    facts = (
-        labels.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(own, key, "left")
-        .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("keys"), F.sum("known").alias("known"))
-        .first()
-    )
-    rows, keys, known = (facts[c] or 0 for c in ("rows", "keys", "known"))
-    if rows != n_base:
-        return f"{rows} labels for {n_base} rows"
-    if keys != rows:
-        return f"{rows - keys} labels repeat a key"
-    return None if known == keys else f"{keys - known} labels belong to no row"
+def _label_faults(base: DataFrame, labels: Mapping[str, DataFrame], key: str, one_to_one: bool) -> dict[str, str | None]:
+    """Per label table, why it cannot be attached: repeated keys or, if labels must stand one to one, another length or unknown keys.
 
-
-def _repeats_keys(labels: DataFrame, key: str) -> bool:
-    return not labels.groupBy(key).count().where("count > 1").isEmpty()
+    One shuffle of keys and one job answer for all tables; a NULL key belongs to no row.
+    """
+    tables = [*labels.values(), *([base] if one_to_one else [])]
+    if not labels:
+        return {}
+    tagged = reduce(DataFrame.union, [t.select(key, F.lit(i).alias("_source")) for i, t in enumerate(tables)])
+    per_key = tagged.groupBy(key).agg(*[F.count_if(F.col("_source") == i).alias(f"_n{i}") for i in range(len(tables))])
+    own = f"_n{len(labels)}"
+    facts = []
+    for i in range(len(tables)):
+        here = F.col(f"_n{i}") > 0
+        known = here & F.col(key).isNotNull() & (F.col(own) > 0) if one_to_one else here
+        facts += [F.sum(f"_n{i}").alias(f"rows{i}"), F.count_if(here).alias(f"keys{i}"), F.count_if(known).alias(f"known{i}")]
+    found = per_key.agg(*facts).first()
+    faults: dict[str, str | None] = {}
+    for i, name in enumerate(labels):
+        rows, keys, known = (found[f"{f}{i}"] or 0 for f in ("rows", "keys", "known"))
+        expected = (found[f"rows{len(labels)}"] or 0) if one_to_one else rows
+        if rows != expected:
+            faults[name] = f"{rows} labels for {expected} rows"
+        elif keys != rows:
+            faults[name] = f"{rows - keys} labels repeat a key"
+        else:
+            faults[name] = None if known == keys else f"{keys - known} labels belong to no row"
+    return faults
 
 
 def attach_left(base: DataFrame, labels: DataFrame, column: str, key: str = "row_id") -> DataFrame:
     """Attach a label where there is one, NULL elsewhere; labels that repeat a key are refused, as they would multiply rows."""
-    if _repeats_keys(labels, key):
-        raise LabelError(f"{column}: labels repeat a key")
+    fault = _label_faults(base, {column: labels}, key, one_to_one=False)[column]
+    if fault:
+        raise LabelError(f"{column}: {fault}")
     return _attached(base, labels, column, key)
 
 
@@ -98,20 +107,14 @@ def attach_labels(
     labels one to one are required, a table that is not so or lacks its column is logged and
     left out; otherwise one whose keys repeat, as it would multiply rows.
     """
+    whole = {m: t for m, t in labels.items() if not require_equal or LABEL_COLUMNS[m] in t.columns}
+    faults = _label_faults(base, whole, key, one_to_one=require_equal)
     wide, attached = base, []
-    expected = base.count() if require_equal else None
     for method, table in labels.items():
         column = LABEL_COLUMNS[method]
-        if require_equal:
-            if column not in table.columns:
-                log.warning("%s: no column %s", method, column)
-                continue
-            fault = _label_fault(base, table, key, expected)
-            if fault:
-                log.warning("%s: %s", method, fault)
-                continue
-        elif _repeats_keys(table, key):
-            log.warning("%s: labels repeat a key", method)
+        fault = faults[method] if method in faults else f"no column {column}"
+        if fault:
+            log.warning("%s: %s", method, fault)
             continue
         wide = _attached(wide, table, column, key)
         attached.append(method)
