@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,13 +36,27 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold no article text, whatever it looks like.
 ASIDE_TAGS = frozenset("nav footer aside form header menu button dialog label option search".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Elements that stand inside a sentence; only adverts and share links mark these, since comment or notice are styles there.
+INLINE_TAGS = frozenset(
+    "a abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small span strong sub sup time u var".split()
+)
+INLINE_WORDS = re.compile(r"(?:ads?|advert(?:s|isements?|ising)?|sponsor(?:s|ed)?|promo(?:s|tions?|ted)?|shar(?:es?|ing))", re.I)
 #: Words of a class, id or role that mark such a place.
 ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebar|footer|header|cookie\w*|consent"
-    r"|notice\w*|popup|modal|newsletter|subscribe|comments?|replies|reply|disqus|share\w*|social|related|login|search\w*"
-    r"|complementary|contentinfo|navigation)(?:$|[\s_-])",
+    r"(?:ads?|advert(?:s|isements?|ising)?|banners?|sponsor(?:s|ed)?|promo(?:s|tions?|ted)?|nav(?:s|bar|igation|menu)?|menu(?:s|bar)?"
+    r"|breadcrumbs?|sidebars?|footer|header|cookies?|consent|notices?|popup|modal|newsletters?|subscribe|comments?|replies|reply|disqus"
+    r"|shar(?:es?|ing)|social|related|login|search(?:box|bar|form)?|complementary|contentinfo)",
+    re.I,
+)
+#: Words that follow the one that names the place, as in comment-list or ad-slot-2.
+FOLLOWING = re.compile(
+    r"(?:[0-9x]*|box|bar|block|list|items?|container|wrapper|wrap|inner|outer|area|region|zone|widget|section|panel|slot|unit|links?"
+    r"|buttons?|icons?|form|top|bottom|left|right|posts?|articles?|stories|group|row|column|overlay|signup|threads?|results?|media|dialog"
+    r"|fixed|sticky|desktop|mobile|primary|secondary)",
     re.I,
 )
+#: What has a header of its own, with the title of the article.
+TITLED = frozenset("post entry article story content page section title".split())
 #: A word that only tells whether the page has such a place, as in with-sidebar.
 TELLS = re.compile(r"(?:^|[_-])(?:with|without|has|have|no|not|non)[_-]", re.I)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]++)))?+")
@@ -57,9 +72,16 @@ STOP_WORDS = frozenset(
 SPACES = re.compile(r"\s+")
 WORDS = re.compile(r"\w+")
 
+#: Scripts that write a word in one or two signs; such a sign counts as three.
+DENSE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7a3]")
+
 LINKS_HIGH = 0.5
 STOPS_LOW, STOPS_HIGH = 0.15, 0.25
 SHORT, LONG = 70, 200
+#: Below this share of function words over its longer blocks, a page is in no language expected.
+STOPS_KNOWN = 0.1
+#: A form outside any article is no form but the page itself if it holds more than this share of the open text.
+FORM_MOST = 0.5
 
 GOOD, BAD, UNSURE = 1, -1, 0
 
@@ -73,6 +95,7 @@ class Block:
     aside: bool = False
     region: int = 0
     heading: bool = False
+    form: int = 0
     text: str = ""
 
 
@@ -80,8 +103,25 @@ class Block:
 OPEN, MARKED, ASIDE = 0, 1, 2
 
 
+def _marks(name: str, tag: str, inside_main: bool) -> bool:
+    """Whether a class, id or role names a place that holds no article text.
+
+    Of a compound the last word counts that is no mere place or number: comment-list is one, social-sciences is not.
+    """
+    if TELLS.search(name):
+        return False
+    parts = re.split("[_-]+", name)
+    while len(parts) > 1 and FOLLOWING.fullmatch(parts[-1]):
+        parts.pop()
+    if tag in INLINE_TAGS:
+        return bool(INLINE_WORDS.fullmatch(parts[-1]))
+    if parts[-1].lower() == "header" and (inside_main or any(p.lower() in TITLED for p in parts)):
+        return False
+    return bool(ASIDE_WORDS.fullmatch(parts[-1]))
+
+
 def _place(tag: str, attributes: str, inside_main: bool) -> int:
-    if tag in ASIDE_TAGS:
+    if tag in ASIDE_TAGS and (tag != "form" or inside_main):
         return OPEN if inside_main and tag == "header" else ASIDE
     if tag in ("html", "body") or not attributes:
         return OPEN
@@ -93,14 +133,17 @@ def _place(tag: str, attributes: str, inside_main: bool) -> int:
     if tag not in MAIN_TAGS and (hidden or NO_DISPLAY.search(values.get("style", ""))):
         return ASIDE
     names = f"{classes} {values.get('id', '')} {values.get('role', '')}".split()
-    return MARKED if any(ASIDE_WORDS.search(n) and not TELLS.search(n) for n in names) else OPEN
+    return MARKED if any(_marks(n, tag, inside_main) for n in names) else OPEN
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Blocks with text in page order; ``region`` numbers the article or main element they stand in, 0 outside."""
+    """Blocks with text in page order; ``region`` numbers the article or main element they stand in, 0 outside.
+
+    Text of an aside element inside a paragraph is left out of it.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, int, int]] = []
-    aside, region, regions, links, heading = OPEN, 0, 0, 0, False
+    stack: list[tuple[str, int, int, int]] = []
+    aside, region, regions, form, forms, links, heading = OPEN, 0, 0, 0, 0, 0, False
     block = Block()
 
     def close() -> None:
@@ -109,11 +152,13 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             block.text = text
             found.append(block)
-        block = Block(aside=aside > OPEN, region=region, heading=heading)
+        block = Block(aside=aside > OPEN, region=region, heading=heading, form=form)
 
     for token in TOKEN.finditer(page):
         kind = token.lastgroup
         if kind == "text":
+            if aside > OPEN and not block.aside:
+                continue
             piece = token.group()
             block.pieces.append(piece)
             if links:
@@ -131,9 +176,9 @@ def blocks_of(page: str) -> list[Block]:
                 links = max(0, links - 1)
             level = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if level is not None:
-                _, aside, region = stack[level]
+                _, aside, region, form = stack[level]
                 del stack[level:]
-                heading = any(name in HEADINGS for name, _, _ in stack)
+                heading = any(entry[0] in HEADINGS for entry in stack)
         else:
             attributes = token.group("attributes")
             if tag == "a":
@@ -141,10 +186,13 @@ def blocks_of(page: str) -> list[Block]:
             elif tag not in VOID_TAGS and not attributes.endswith("/"):
                 if tag == "p" or tag in HEADINGS:  # neither holds another p
                     level = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-                    if level is not None and not any(name in BLOCK_TAGS for name, _, _ in stack[level + 1 :]):
-                        _, aside, region = stack[level]
+                    if level is not None and not any(entry[0] in BLOCK_TAGS for entry in stack[level + 1 :]):
+                        _, aside, region, form = stack[level]
                         del stack[level:]
-                stack.append((tag, aside, region))
+                stack.append((tag, aside, region, form))
+                if tag == "form" and not region and not form:
+                    forms += 1
+                    form = forms
                 place = _place(tag, attributes, bool(region))
                 if tag not in MAIN_TAGS:
                     aside = max(aside, place)
@@ -156,24 +204,64 @@ def blocks_of(page: str) -> list[Block]:
             links = 0 if tag != "a" and not token.group("close") else links
             close()
     close()
+    _settle_forms(found)
     return found
 
 
-def first_label(block: Block) -> int:
-    """The first pass: a decided label, or unsure for short blocks and for such without function words."""
+def _settle_forms(blocks: list[Block]) -> None:
+    """Mark the blocks of forms, but for a form round the page itself."""
+    open_text: Counter[int] = Counter()
+    for b in blocks:
+        if not b.aside:
+            open_text[b.form] += len(b.text)
+    most = FORM_MOST * open_text.total()
+    outside = any(b.region and not b.form for b in blocks)
+    for b in blocks:
+        if b.form and (outside or open_text[b.form] <= most):
+            b.aside = True
+
+
+def _length(text: str) -> int:
+    return len(text) + 2 * len(DENSE.findall(text))
+
+
+def _stops(text: str) -> tuple[int, int]:
+    words = WORDS.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def known_language(blocks: list[Block]) -> bool:
+    """Whether the longer blocks of a page hold the function words of an expected language; so if there are none."""
+    stops = words = 0
+    for b in blocks:
+        if not b.aside and len(b.text) >= SHORT and b.linked <= LINKS_HIGH * len(b.text.replace(" ", "")):
+            found, all_words = _stops(b.text)
+            stops, words = stops + found, words + all_words
+    return stops >= STOPS_KNOWN * words
+
+
+def first_label(block: Block, known: bool = True) -> int:
+    """The first pass: a decided label, or unsure for short blocks and for such without function words.
+
+    Where the language is not ``known``, length and links decide alone.  A linked sentence of an article is unsure.
+    """
     if block.aside:
         return BAD
     size = len(block.text.replace(" ", ""))
+    length = _length(block.text)
+    found, words = _stops(block.text)
+    stops = found / max(1, words)
     if block.linked > LINKS_HIGH * size:
-        return BAD
-    words = WORDS.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if block.heading or len(block.text) < SHORT:
+        sentence = block.region and length >= SHORT and (stops >= STOPS_HIGH or not known)
+        return UNSURE if sentence else BAD
+    if block.heading or length < SHORT:
         return UNSURE
+    if not known:
+        return GOOD if length >= LONG else UNSURE
     if stops >= STOPS_HIGH:
         return GOOD
     if stops >= STOPS_LOW:
-        return GOOD if len(block.text) >= LONG else UNSURE
+        return GOOD if length >= LONG else UNSURE
     return UNSURE if block.region else BAD
 
 
@@ -185,20 +273,21 @@ def label_blocks(blocks: list[Block]) -> list[int]:
     after itself first.  Where a region has no decided block, its unsure ones are good inside
     an article or main element and bad outside.
     """
-    labels = [first_label(b) for b in blocks]
+    known = known_language(blocks)
+    labels = [first_label(b, known) for b in blocks]
     # Bad places inside a region say nothing about the article around them.
     decided = [i for i, b in enumerate(blocks) if labels[i] != UNSURE and not (b.region and labels[i] == BAD)]
     before: list[int | None] = [None] * len(blocks)
     after: list[int | None] = [None] * len(blocks)
     last: int | None = None
-    known = set(decided)
+    sure = set(decided)
     for i in range(len(blocks)):
         before[i] = last if last is not None and blocks[last].region == blocks[i].region else None
-        last = i if i in known else last
+        last = i if i in sure else last
     last = None
     for i in range(len(blocks) - 1, -1, -1):
         after[i] = last if last is not None and blocks[last].region == blocks[i].region else None
-        last = i if i in known else last
+        last = i if i in sure else last
     final = list(labels)
     for i, b in enumerate(blocks):
         if labels[i] != UNSURE:

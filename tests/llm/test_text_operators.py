@@ -213,6 +213,28 @@ PLACES = [
     (f"<section id=comments><article class=comment><p>{PROSE}</p></article></section>", ""),
 ]
 
+FOREIGN = (
+    "Wczoraj wieczorem w centrum miasta odbył się koncert, który przyciągnął tłumy mieszkańców oraz turystów z całego kraju;"
+    " organizatorzy zapowiedzieli kolejne wydarzenia jeszcze tego lata, również poza stolicą i na wybrzeżu."
+)
+DENSE = "昨日の夕方、市の中心部でコンサートが開かれ、国内各地から多くの住民や観光客が集まった。主催者は今年の夏に首都以外でもさらに催しを行うと発表した。"
+LONG_PROSE = " ".join([PROSE] * 4)
+PLACES += [
+    (f"<form id=aspnetForm><nav>Menu</nav><div><p>{LONG_PROSE}</p></div><label>Name</label></form>", LONG_PROSE),
+    (f"<form id=f><article><p>{PROSE}</p></article></form><footer>x</footer>", PROSE),
+    (f"<article><p>{PROSE}</p></article><form><p>{LONG_PROSE}</p></form>", PROSE),
+    (f"<div><p>{LONG_PROSE}</p></div><form><p>{PROSE}</p></form>", LONG_PROSE),
+    (f'<div class="topic social-sciences"><p>{LONG_PROSE}</p></div>', LONG_PROSE),
+    (f'<article><div class="post-header"><h1>Head</h1></div><p>{PROSE}</p></article>', f"Head\n\n{PROSE}"),
+    (f"<div class='ad-slot-2'><p>{LONG_PROSE}</p></div><div id=related-posts><p>{LONG_PROSE}</p></div>", ""),
+    (f"<div class=comment-list><p>{LONG_PROSE}</p></div><div><h2>Tytuł</h2><p>{FOREIGN}</p></div><ul><li><a href=x>Strona</a></ul>",
+     f"Tytuł\n\n{FOREIGN}"),
+    (f"<div><p>{DENSE}</p></div>", DENSE),
+    (f"<article><p>{PROSE}</p><p><a href=x>{LONG_PROSE}</a></p><ul><li><a href=x>Home</a></ul></article>", f"{PROSE}\n\n{LONG_PROSE}"),
+    ("<article><p>one <button>Buy</button><label>l</label><span hidden>h</span><span class=ad>ad</span>two"
+     " <span class=comment>three</span></p></article>", "one two three"),
+]
+
 
 @pytest.mark.parametrize("number", range(len(PLACES)))
 def test_marked_places(number):
