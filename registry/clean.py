@@ -71,7 +71,7 @@ def quartiles(t):
     return rounded(quartile_summary(t.products, NUMERIC), "q1", "q3")
 
 
-# The same by narrowing histograms, the way a table with very many distinct values goes.
+# The same by brackets narrowed to very few rows, as on a very large table.
 @query("e1_quartiles_narrowed", ORACLES["e1_quartiles"])
 def quartiles_narrowed(t):
     found = quantiles(t.products, NUMERIC, [0.25, 0.75], small=NARROW)

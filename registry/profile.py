@@ -14,12 +14,6 @@ COLUMNS = (
     "row_id", "id", "category", "subcategory", "name", "current_price", "raw_price", "currency", "discount",
     "likes_count", "is_new", "brand",
 )
-_TYPES = (
-    "bigint", "bigint", "string", "string", "string", "double", "double", "string", "int", "bigint", "boolean",
-    "string",
-)
-
-
 def _per_column(columns, expression: str, table: str) -> str:
     return " UNION ALL ".join(f"SELECT '{c}' AS column_name, {expression.format(c=c)} FROM {table}" for c in columns)
 
@@ -29,11 +23,16 @@ def shape(t):
     return profile.shape(t.products)
 
 
-@query(
-    "b2_column_types",
-    "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}', '{k}')" for i, (c, k) in enumerate(zip(COLUMNS, _TYPES, strict=True)))
-    + ") v(position, column_name, data_type)",
-)
+def _types_of(row: str) -> str:
+    """The types of a row's columns, under Spark's names where they differ."""
+    return " UNION ALL ".join(
+        f"SELECT {i}::INT AS position, '{c}' AS column_name, CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'"
+        f" ELSE lower(typeof({c})) END AS data_type FROM {row}"
+        for i, c in enumerate(COLUMNS)
+    )
+
+
+@query("b2_column_types", with_tables(_types_of("(SELECT * FROM products LIMIT 1)")))
 def column_types(t):
     return profile.column_types(t.products)
 

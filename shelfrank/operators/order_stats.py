@@ -1,9 +1,11 @@
 """Exact order statistics and quantiles without gathering a column in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer, and
-``row_number`` sorts a whole group in one task.  Both are used here only below
-a checked size.  Above it, the interval holding each wanted rank is narrowed by
-histograms, which Spark aggregates map-side, until what is left is small.
+Quantiles of columns: a mergeable sketch brackets each wanted rank between two values, closer and closer until
+few rows lie between them; one more pass clamps the column to the bracket, which leaves the wanted
+ranks as they are, and takes the exact percentile of what few distinct values remain.
+
+Ranks within groups, with ties told apart: the interval holding each wanted rank is narrowed by histograms,
+which Spark aggregates map-side, until what is left is small enough to be sorted in one task.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +23,9 @@ from shelfrank.session import small_table
 # Rows of one interval that may be sorted in one task.
 SMALL = 50_000
 BINS = 4096
+# A sketch of a column finds a rank within this share of the rows, and a bracket spares four times as much on either side.
+SKETCH_ACCURACY = 10_000
+MARGIN = 4 / SKETCH_ACCURACY
 
 
 @dataclass(frozen=True)
@@ -199,56 +204,152 @@ class Spread:
     quantiles: list[float | None]
 
 
+@dataclass(frozen=True)
+class Bracket:
+    """Values between which a quantile of a column lies, if its sketch kept its word; ``rows`` of them are expected."""
+
+    column: str
+    probability: float
+    count: int
+    low: float
+    high: float
+    rows: float
+    margin: float = MARGIN
+
+    @property
+    def place(self) -> float:
+        return (self.count - 1) * self.probability
+
+    def between(self) -> Column:
+        """Rows between the two values, which may be frequent and are not counted."""
+        value = _number(self.column)
+        return (value > F.lit(self.low)) & (value < F.lit(self.high))
+
+    def share(self, upto_low: int, inside: int) -> tuple[float, float]:
+        """Where the wanted ranks lie among the rows between, with the margin on either side."""
+        first, last = math.floor(self.place) - upto_low, math.ceil(self.place) + 1 - upto_low
+        return max(0.0, first / inside - self.margin), min(1.0, last / inside + self.margin)
+
+
 def spread(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
     small: int = SMALL,
 ) -> dict[str, Spread]:
-    """Count, extremes and exact quantiles per column.
+    """Count, extremes and exact quantiles per column; NULLs are skipped, a column of NULLs has none.
 
-    The buffer of ``percentile`` grows with the distinct values, so these are
-    estimated first.
+    Each pass is one aggregate over the columns still open.  A bracket of more than ``small`` rows is narrowed first.
     """
     facts = df.agg(
-        *[
-            f(F.col(c)).alias(f"{c}|{name}")
-            for c in columns
-            for name, f in [
-                ("n", F.count),
-                ("distinct", F.approx_count_distinct),
-                ("low", F.min),
-                ("high", F.max),
-            ]
-        ]
+        *[f(F.col(c)).alias(f"{c}|{name}") for c in columns for name, f in [("n", F.count), ("low", F.min), ("high", F.max)]],
+        *[_sketch(_number(c), [(p - MARGIN, p + MARGIN) for p in probabilities]).alias(f"{c}|sketch") for c in columns],
     ).first()
-    found: dict[str, list[float | None]] = {}
-    compact = [c for c in columns if facts[f"{c}|distinct"] <= 2 * small]
-    if compact:
-        p = F.array(*[F.lit(float(q)) for q in probabilities])
-        row = df.agg(*[F.percentile(c, p).alias(c) for c in compact]).first()
-        found = {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in compact}
-    wide = [c for c in columns if c not in found]
-    if wide:
-        extents = {c: Extent(facts[f"{c}|n"], float(facts[f"{c}|low"]), float(facts[f"{c}|high"])) for c in wide}
-        found |= _interpolate(df, extents, probabilities, small)
+    brackets = []
+    for c in columns:
+        n, ends = facts[f"{c}|n"], facts[f"{c}|sketch"]
+        for i, p in enumerate(probabilities if n else ()):
+            low, high = float(facts[f"{c}|low"]), float(facts[f"{c}|high"])
+            if n > small:
+                low = ends[2 * i] if p > MARGIN else low
+                high = ends[2 * i + 1] if p < 1 - MARGIN else high
+            brackets.append(Bracket(c, p, n, low, high, min(n, 2 * MARGIN * n + 2)))
+    found = _settle(df, brackets, small)
     return {
-        c: Spread(facts[f"{c}|n"], facts[f"{c}|low"], facts[f"{c}|high"], found[c]) for c in columns
+        c: Spread(facts[f"{c}|n"], facts[f"{c}|low"], facts[f"{c}|high"], [found.get((c, p)) for p in probabilities])
+        for c in columns
     }
 
 
-def _interpolate(df, extents, probabilities, small) -> dict[str, list[float]]:
-    """Quantiles of several columns at once: each is a group of one long table."""
-    cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("cell")) for c in extents]
-    long = df.select(F.inline(F.array(*cells)))
-    places = {c: [(e.count - 1) * q for q in probabilities] for c, e in extents.items()}
-    ranks = [(c, r + 1) for c, at in places.items() for p in at for r in (math.floor(p), math.ceil(p))]
-    values = order_statistics(long, "cell", ranks, group="name", small=small, extents=extents)
-    result = {}
-    for c, at in places.items():
-        result[c] = []
-        for p in at:
-            lower, upper = values[c, math.floor(p) + 1][0], values[c, math.ceil(p) + 1][0]
-            share = p - math.floor(p)
-            result[c].append((1 - share) * lower + share * upper)
-    return result
+def _number(column: str) -> Column:
+    return F.col(column).cast("double")
+
+
+def _sketch(values: Column, shares: Sequence[tuple[float, float]]) -> Column:
+    """Approximate quantiles at both ends of each share."""
+    ends = [F.lit(min(1.0, max(0.0, float(end)))) for pair in shares for end in pair]
+    return F.percentile_approx(values, F.array(*ends), SKETCH_ACCURACY)
+
+
+def _settle(df: DataFrame, brackets: Sequence[Bracket], small: int) -> dict[tuple[str, float], float]:
+    """The exact quantile in each bracket; a bracket that missed its ranks is drawn anew, eight times as wide."""
+    found: dict[tuple[str, float], float] = {}
+    while brackets:
+        brackets = _narrowed(df, brackets, small)
+        checks = []
+        for i, b in enumerate(brackets):
+            value = _number(b.column)
+            clamped = F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(b.low)), F.lit(b.high)))
+            checks += [
+                F.count_if(value < F.lit(b.low)).alias(f"{i}|below"),
+                F.count_if(value <= F.lit(b.high)).alias(f"{i}|upto"),
+                F.percentile(clamped, F.lit(b.probability)).alias(f"{i}|value"),
+            ]
+        row = df.agg(*checks).first()
+        missed = []
+        for i, b in enumerate(brackets):
+            if row[f"{i}|below"] <= math.floor(b.place) and math.ceil(b.place) < row[f"{i}|upto"]:
+                found[b.column, b.probability] = row[f"{i}|value"]
+            else:
+                missed.append(b)
+        brackets = _redrawn(df, missed) if missed else []
+    return found
+
+
+def _narrowed(df: DataFrame, brackets: Sequence[Bracket], small: int) -> list[Bracket]:
+    """Brackets with at most ``small`` rows between their ends, or such as a sketch of these rows no longer halves."""
+    done = [b for b in brackets if b.rows <= small or b.low == b.high]
+    wide = [(b, math.inf) for b in brackets if b.rows > small and b.low != b.high]
+    while wide:
+        counts = df.agg(
+            *[F.count_if(_number(b.column) <= F.lit(b.low)).alias(f"{i}|upto_low") for i, (b, _) in enumerate(wide)],
+            *[F.count_if(b.between()).alias(f"{i}|inside") for i, (b, _) in enumerate(wide)],
+        ).first()
+        open_ones = []
+        for i, (b, before) in enumerate(wide):
+            inside = counts[f"{i}|inside"]
+            first, last = b.share(counts[f"{i}|upto_low"], max(1, inside))
+            # Ranks beyond the bracket are left to the check that follows.
+            if inside <= small or inside > before / 2 or not first < last:
+                done.append(b)
+            else:
+                open_ones.append((b, inside, first, last))
+        if not open_ones:
+            break
+        ends = df.agg(
+            *[
+                _sketch(F.when(b.between(), _number(b.column)), [(first, last)]).alias(str(i))
+                for i, (b, _, first, last) in enumerate(open_ones)
+            ]
+        ).first()
+        wide = []
+        for i, (b, inside, first, last) in enumerate(open_ones):
+            low = b.low if first == 0 else ends[str(i)][0]
+            high = b.high if last == 1 else ends[str(i)][1]
+            closer = replace(b, low=low, high=high, rows=(last - first) * inside)
+            if closer.rows <= small or low == high:
+                done.append(closer)
+            else:
+                wide.append((closer, inside))
+    return done
+
+
+def _redrawn(df: DataFrame, missed: Sequence[Bracket]) -> list[Bracket]:
+    margins = [8 * b.margin for b in missed]
+    row = df.agg(
+        *[f(_number(b.column)).alias(f"{i}|{name}") for i, b in enumerate(missed) for name, f in [("low", F.min), ("high", F.max)]],
+        *[
+            _sketch(_number(b.column), [(b.probability - m, b.probability + m)]).alias(f"{i}|ends")
+            for i, (b, m) in enumerate(zip(missed, margins, strict=True))
+        ],
+    ).first()
+    return [
+        replace(
+            b,
+            low=row[f"{i}|ends"][0] if b.probability > m else row[f"{i}|low"],
+            high=row[f"{i}|ends"][1] if b.probability < 1 - m else row[f"{i}|high"],
+            rows=min(b.count, 2 * m * b.count + 2),
+            margin=m,
+        )
+        for i, (b, m) in enumerate(zip(missed, margins, strict=True))
+    ]

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from shelfrank.operators import order_stats
 from shelfrank.operators.order_stats import order_statistics, quantiles
 
 VALUES = {
@@ -43,3 +44,24 @@ def test_ranks_within_groups_with_ties(spark):
 def test_rank_out_of_range(spark):
     with pytest.raises(ValueError):
         order_statistics(spark.range(3), "id", [("", 4)])
+
+
+def test_a_sketch_that_misses_is_drawn_anew(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "SKETCH_ACCURACY", 3)
+    monkeypatch.setattr(order_stats, "MARGIN", 1e-9)
+    values = np.random.default_rng(4).permutation(20_000).astype(float)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(6)
+    assert quantiles(df, ["x"], [0.25, 0.5, 0.75], small=100)["x"] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]))
+
+
+def test_a_bracket_holds_few_distinct_values(spark):
+    """Narrowed, not gathered: a third equal, the rest spread over 60,000 rows."""
+    rng = np.random.default_rng(5)
+    values = np.where(rng.random(60_000) < 0.34, 0.5, rng.random(60_000))
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(6)
+    n = len(values)
+    wide = [order_stats.Bracket("x", p, n, 0.0, 1.0, n) for p in (0.1, 0.9)]
+    for bracket in order_stats._narrowed(df, wide, 100):
+        inside = values[(values >= bracket.low) & (values <= bracket.high)]
+        assert len(np.unique(inside)) <= 100
+        assert bracket.low <= np.quantile(values, bracket.probability) <= bracket.high
