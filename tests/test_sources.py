@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from shelfrank.operators.variants import attach_equal
 from shelfrank.sources import (
     NA_TOKENS,
     infer_types,
@@ -123,3 +124,16 @@ def test_positions_with_line_breaks_empty_files_and_clashes(spark, tmp_path):
     assert scan_in_order(spark, _file(tmp_path, "e.csv", "v\n")).collect() == []
     with pytest.raises(ValueError):
         scan_in_order(spark, _file(tmp_path, "c.csv", "v,row_id\n1,2\n"))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_meet_by_position_are_never_broadcast(spark, tmp_path):
+    write_csv(spark.range(20_000).selectExpr("id % 7 AS category"), str(tmp_path / "base"))
+    write_csv(spark.range(20_000).selectExpr("id % 4 AS cluster"), str(tmp_path / "labels"))
+    base, labels = (scan_in_order(spark, str(tmp_path / name)) for name in ("base", "labels"))
+    # The rows are the left side of the join with their blocks; their files hold a few bytes a row.
+    assert "BuildLeft" not in _plan(labels.select("row_id"))
+    assert "BroadcastHashJoin [row_id" not in _plan(attach_equal(base, labels, "cluster"))
