@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfrank.operators.clusters import hierarchical_labels, kmeans_labels
+from shelfrank.operators.clusters import _spread, hierarchical_labels, kmeans_labels
 from shelfrank.operators.evaluate import accuracy, cluster_importances, cross_validation, sorted_importances
-from shelfrank.operators.models import Classifier, decision_tree, kernel_machine, naive_bayes, nearest_neighbours, random_forest
+from shelfrank.operators.models import Classifier, decision_tree, drawn_rows, kernel_machine, naive_bayes, nearest_neighbours, random_forest
 from shelfrank.operators.naive_bayes import cross_predict_naive_bayes, fit_naive_bayes
 from shelfrank.operators.neighbours import nearest_votes
 from shelfrank.operators.variants import LabelError, Variant, comparison_variants, extended_variants
@@ -205,3 +205,28 @@ def test_neighbours_with_flag_and_cluster_features(spark):
     found = {r["row_id"]: r["prediction"] for r in nearest_votes(table(points, labels, 0), asked, names, tile_size=16).collect()}
     everyone = np.ones(700, bool)
     assert found == {5000 + i: _vote(points, labels, ids, q, everyone) for i, q in enumerate(queries)}
+
+
+def test_a_bounded_sample_is_drawn_by_all_tasks_and_gathered_once(spark):
+    rows = spark.range(200_000, numPartitions=8).selectExpr("id AS row_id", "int(id % 3) AS label", "double(id % 100) AS x")
+    context, seen = spark.sparkContext, spark.sparkContext.accumulator(0)
+
+    def count(part):
+        seen.add(1)
+        return part
+
+    table = spark.createDataFrame(rows.rdd.mapPartitions(count), rows.schema)
+    table.count()
+    per_scan = seen.value
+    before = seen.value
+    sample = drawn_rows(table, 1000, "label", "x")
+    assert per_scan == 8 and seen.value - before == 16  # counted and drawn, eight tasks each
+    assert len(sample.inputFiles()) == 1 and 800 < sample.count() < 1200
+    assert context.defaultParallelism == 8
+
+
+def test_the_vectors_of_a_large_table_are_spread_over_tasks_of_bounded_size(spark):
+    rows = spark.range(0, 5000, 1, 1).selectExpr("id AS row_id")
+    sizes = _spread(rows, rows=100).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 50 and max(r["count"] for r in sizes) <= 110
+    assert _spread(rows).rdd.getNumPartitions() == 1
