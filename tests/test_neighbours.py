@@ -1,5 +1,7 @@
 """The tree's nodes and leaves are bounded, and a query is compared with few points."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +109,10 @@ def test_leaves_and_candidates(kind):
 
 def test_equal_points_end_in_one_leaf():
     assert [len(x) for x in split_leaves(np.ones((40, 2)), LEAF)] == [40]
+
+
+def test_tables_with_a_row_per_query_are_not_broadcast(spark):
+    rows = spark.range(3000).selectExpr("id AS row_id", "int(id % 3) AS label", "double(id % 50) AS x", "double(id % 61) AS y")
+    plan = nearest_votes(rows, rows, ["x", "y"], node_size=NODE)._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"BroadcastHashJoin \[(\w+)", plan)
+    assert joins and set(joins) == {"_path"}
