@@ -11,15 +11,23 @@ from pyspark.sql import DataFrame
 from shelfrank.operators.split import SEED
 
 CLUSTERS = 4
+# Every pass of the fit reads a task's vectors whole, so a large table is spread over tasks of about so many rows.
+ROWS_PER_TASK = 500_000
+
+
+def _spread(vectors: DataFrame, rows: int = ROWS_PER_TASK) -> DataFrame:
+    n = vectors.count()
+    return vectors if n <= rows else vectors.repartition(max(-(-n // rows), vectors.sparkSession.sparkContext.defaultParallelism))
 
 
 def _labelled(df: DataFrame, features: Sequence[str], estimator, name: str, key: str) -> DataFrame:
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
-    vectors = assembler.transform(df.select(key, *features)).select(key, "_features").persist()
+    vectors = assembler.transform(df.select(key, *features)).select(key, "_features")
+    spread = _spread(vectors).select("_features").persist()
     try:
-        model = estimator.setFeaturesCol("_features").setPredictionCol(name).fit(vectors)
+        model = estimator.setFeaturesCol("_features").setPredictionCol(name).fit(spread)
     finally:
-        vectors.unpersist()
+        spread.unpersist()
     return model.transform(vectors).select(key, name)
 
 
