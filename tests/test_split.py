@@ -72,3 +72,15 @@ def test_missing_labels_are_refused(spark):
     for add in (with_test_flag, with_fold):
         with pytest.raises(ValueError, match="missing"):
             add(df)
+
+
+def test_the_draws_of_a_split_are_made_once_for_all_narrowing_steps(spark):
+    rows = spark.range(4000, numPartitions=4).selectExpr("id AS row_id", "int(id % 2) AS label")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(part):
+        seen.add(1)
+        return part
+
+    with_test_flag(spark.createDataFrame(rows.rdd.mapPartitions(count), rows.schema), small=2)
+    assert seen.value == 2 * 4  # counted by class, then drawn
