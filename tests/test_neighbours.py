@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfrank.operators import neighbours
 from shelfrank.operators.neighbours import Search, build_tree, nearest_votes, search_node, split_leaves
 
 NODE, LEAF, K = 64, 16, 5
@@ -77,6 +78,31 @@ def test_visits_are_few(spark):
     assert nodes > 40 and np.mean(visits) < nodes / 4
 
 
+@pytest.mark.parametrize("top", [1, 2, 4])
+def test_the_top_of_the_tree_is_walked_in_the_tasks(spark, monkeypatch, top):
+    """However many levels the tasks hold, homes and visits are those of the boxes; a shallow tree needs no join."""
+    rng = np.random.default_rng(8)
+    points, queries = cloud("heavy values", 3000, rng), cloud("plain", 100, rng)
+    fold = np.arange(3000) // 600
+    train, names = frame(spark, points, fold=fold)
+    asked = frame(spark, queries, fold=fold[::30])[0].withColumnRenamed("row_id", "_query").drop("label").withColumn("_reach", F.lit(0.3))
+    monkeypatch.setattr(neighbours, "TOP_LEVELS", top)
+    search = Search(build_tree(train.dropDuplicates(names), names, "fold", NODE), "label", "row_id", K, LEAF)
+    home = search._home(asked)
+    plan = home._jdf.queryExecution().optimizedPlan().toString()
+    assert len(search.tree.levels) > 2 and ("Join" in plan) == (top < len(search.tree.levels))
+    nodes = search.tree.points.groupBy("_path").agg(*[f(n) for n in names for f in (F.min, F.max)], F.min("fold"), F.max("fold")).collect()
+    homes = {r["_query"]: r["_path"] for r in home.collect()}
+    visits = {(r["_query"], r["_path"]) for r in search.visits(home).collect()}
+    expected = set()
+    for i, q in enumerate(queries):
+        for path, *sides, least, most in nodes:
+            gap = sum(max(sides[2 * c] - q[c], q[c] - sides[2 * c + 1], 0.0) ** 2 for c in range(3))
+            if gap <= 0.3 and path != homes[i] and not least == most == fold[30 * i]:
+                expected.add((i, path))
+    assert len(homes) == 100 and set(homes.values()) <= {n[0] for n in nodes} and visits == expected
+
+
 def test_sorted_folds(spark):
     """Each fold fills a stretch alone; nodes of one's own fold are not visited."""
     rng = np.random.default_rng(5)
