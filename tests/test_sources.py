@@ -137,3 +137,11 @@ def test_rows_that_meet_by_position_are_never_broadcast(spark, tmp_path):
     # The rows are the left side of the join with their blocks; their files hold a few bytes a row.
     assert "BuildLeft" not in _plan(labels.select("row_id"))
     assert "BroadcastHashJoin [row_id" not in _plan(attach_equal(base, labels, "cluster"))
+
+
+def test_row_ids_write_only_what_is_kept(spark):
+    rows = spark.createDataFrame([(i % 7, i * 31 % 50, f"n{i}") for i in range(50)], "a int, b int, c string")
+    kept = with_row_id(rows, ["a", "b"], keep=["b", "c"])
+    assert kept.columns == ["b", "c", "row_id"]
+    assert {tuple(r) for r in kept.collect()} == {(r.b, r.c, r.row_id) for r in with_row_id(rows, ["a", "b"]).collect()}
+    assert all("part-" not in f or ".zstd." in f for f in kept.inputFiles())
