@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfrank.operators.split import fold_quotas, label_codes, split_quotas, with_fold, with_label_code, with_test_flag
+from shelfrank.plans.study import split_base
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +85,10 @@ def test_the_draws_of_a_split_are_made_once_for_all_narrowing_steps(spark):
 
     with_test_flag(spark.createDataFrame(rows.rdd.mapPartitions(count), rows.schema), small=2)
     assert seen.value == 2 * 4  # counted by class, then drawn
+
+
+def test_a_split_draws_each_row_once(spark):
+    """The rows are written with their draws: neither the result nor the folds work them out again."""
+    base = spark.range(3000).selectExpr("id AS row_id", "concat('c', id % 3) AS category", "double(id) AS x")
+    plan = split_base(base)._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "_draw" in plan
