@@ -75,7 +75,7 @@ def scan_in_order(
         raise ValueError(f"the files have a column {name} of their own")
     numbered = with_scan_position(union_all_by_name([with_scan_place(f, i) for i, f in enumerate(frames)]), name)
     types = schema or inferred_schema(numbered.drop(name))
-    return numbered.select(*_parsed(numbered, types), name)
+    return parse_columns(numbered, types, keep=[name])
 
 
 def scan_present(
@@ -132,39 +132,41 @@ def _cast(text: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.IntegralType):
         return F.when(text.rlike(WHOLE), text.try_cast(data_type))
     if isinstance(data_type, T.FractionalType):
-        endless = F.when(F.lower(text).contains("inf"), F.concat(F.regexp_extract(text, "^[+-]?", 0), F.lit("Infinity")))
-        return F.when(text.rlike(NUMBER), F.coalesce(endless, text).try_cast(data_type))
+        return F.when(text.rlike(NUMBER), text.try_cast(data_type))
     if isinstance(data_type, T.BooleanType):
         return F.when(text.rlike(TRUTH), text.try_cast(data_type))
     return text.try_cast(data_type)
 
 
-def _parse(column: Column, data_type: T.DataType) -> Column:
-    text = _present_text(column)
+def _cell(name: str, data_type: T.DataType) -> Column:
+    """The text of a cell, without the spaces round what is no text."""
+    text = _present_text(_named(name))
+    return text if isinstance(data_type, T.StringType) else F.trim(text)
+
+
+def _parse(text: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.StringType):
         return text
     if isinstance(data_type, T.IntegralType):
         # A column with missing cells may have been written as 3.0.
-        number = F.trim(text)
-        whole = _cast(number, T.DoubleType())
+        whole = _cast(text, T.DoubleType())
         return F.coalesce(
-            _cast(number, data_type),
+            _cast(text, data_type),
             F.when(whole == F.floor(whole), whole.try_cast(data_type)),
         )
-    parsed = _cast(F.trim(text), data_type)
+    parsed = _cast(text, data_type)
     return nan_to_null(parsed) if isinstance(data_type, T.FractionalType) else parsed
 
 
-def _parsed(text: DataFrame, schema: T.StructType) -> list[Column]:
-    return [
-        (_parse(_named(f.name), f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema
-    ]
-
+def parse_columns(text: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """Cast string columns to ``schema``; NA tokens and missing columns give NULL.  Columns to ``keep`` follow as they are.
 
-def parse_columns(text: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast string columns to ``schema``; NA tokens and missing columns give NULL."""
-    return text.select(*_parsed(text, schema))
+    Cells are taken before they are cast: all in one expression would be too long for the JVM to compile.
+    """
+    kept = [_named(c) for c in keep]
+    cells = text.select(*[_cell(f.name, f.dataType).alias(f.name) for f in schema if f.name in text.columns], *kept)
+    parsed = [_parse(_named(f.name), f.dataType) if f.name in text.columns else F.lit(None).cast(f.dataType) for f in schema]
+    return cells.select(*[c.alias(f.name) for c, f in zip(parsed, schema, strict=True)], *kept)
 
 
 def infer_types(text: DataFrame) -> DataFrame:
@@ -175,12 +177,13 @@ def infer_types(text: DataFrame) -> DataFrame:
 def inferred_schema(text: DataFrame) -> T.StructType:
     """The types ``infer_types`` gives, found in one pass over the cells."""
     tried = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+    # Each cell is taken once for all tries.
+    cells = text.select(*[F.trim(_present_text(_named(name))).alias(str(i)) for i, name in enumerate(text.columns)])
     checks = []
-    for i, name in enumerate(text.columns):
-        cell = _present_text(_named(name))
-        checks.append(F.count(cell).alias(f"{i}|n"))
-        checks += [F.count(_cast(F.trim(cell), kind)).alias(f"{i}|{t}") for t, kind in tried.items()]
-    counts = text.agg(*checks).first()
+    for i in range(len(text.columns)):
+        checks.append(F.count(str(i)).alias(f"{i}|n"))
+        checks += [F.count(_cast(F.col(str(i)), kind)).alias(f"{i}|{t}") for t, kind in tried.items()]
+    counts = cells.agg(*checks).first()
     fields = []
     for i, name in enumerate(text.columns):
         fits = [t for k, t in tried.items() if counts[f"{i}|n"] and counts[f"{i}|{k}"] == counts[f"{i}|n"]]

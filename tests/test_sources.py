@@ -1,10 +1,13 @@
 import os
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfrank.operators.variants import attach_equal
 from shelfrank.sources import (
     NA_TOKENS,
+    PRODUCT_SCHEMA,
     infer_types,
     parse_columns,
     read_tables,
@@ -139,6 +142,22 @@ def test_rows_that_meet_by_position_are_never_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin [row_id" not in _plan(attach_equal(base, labels, "cluster"))
 
 
+def test_parsing_is_short_enough_to_be_compiled(spark, tmp_path, capsys):
+    """The JVM interprets methods of over 8,000 bytes for good."""
+    text = spark.range(3).select(*[F.col("id").cast("string").alias(f.name) for f in PRODUCT_SCHEMA])
+    write_csv(text, f"{tmp_path}/wide")
+    parse_columns(spark.read.option("header", True).csv(f"{tmp_path}/wide"), PRODUCT_SCHEMA).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_infinite_cells(spark):
+    cells = ["inf", "-inf", "+Inf", "Infinity", "-infinity", "1e3", "1d"]
+    typed = parse_columns(spark.createDataFrame([(c,) for c in cells], "x string"), spark.createDataFrame([], "x double").schema)
+    endless = float("inf")
+    assert [r.x for r in typed.collect()] == [endless, -endless, endless, endless, -endless, 1000.0, None]
+
+
 def test_row_ids_write_only_what_is_kept(spark):
     rows = spark.createDataFrame([(i % 7, i * 31 % 50, f"n{i}") for i in range(50)], "a int, b int, c string")
     kept = with_row_id(rows, ["a", "b"], keep=["b", "c"])
