@@ -5,9 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,12 @@ RECALL = 0.97
 CHANCE_MATES = 8
 BLOCK_ROWS = 1024
 SHARD_ROWS = 8192
+#: Rows of small buckets that are compared by one product of matrices, rows of a large one, and pairs settled at once.
+RUN_ROWS = 128
+STRIP_ROWS = 256
+PAIRS_AT_ONCE = 1 << 18
+#: Cosines this close to the threshold are worked out again for the pair.
+DOUBT = 1e-9
 
 
 def collision_chance(distance: float, width: float = WIDTH) -> float:
@@ -48,11 +54,14 @@ class Tables:
         bits = max(1, math.ceil(math.log(max(rows / CHANCE_MATES, 2)) / -math.log(far)))
         return Tables(dimension, math.ceil(math.log(1 - RECALL) / math.log(1 - near**bits)), bits)
 
+    @cached_property
+    def projections(self) -> tuple[np.ndarray, np.ndarray]:
+        rng = np.random.default_rng(self.seed)
+        return rng.standard_normal((self.dimension, self.tables * self.bits)), rng.uniform(0, WIDTH, self.tables * self.bits)
+
     def buckets(self, unit: np.ndarray) -> np.ndarray:
         """The 64-bit bucket of each row in each table."""
-        rng = np.random.default_rng(self.seed)
-        directions = rng.standard_normal((self.dimension, self.tables * self.bits))
-        shifts = rng.uniform(0, WIDTH, self.tables * self.bits)
+        directions, shifts = self.projections
         cells = np.floor((unit @ directions + shifts) / WIDTH).astype(np.int64).reshape(len(unit), self.tables, self.bits)
         out = np.zeros((len(unit), self.tables), dtype=np.uint64)
         with np.errstate(over="ignore"):
@@ -72,44 +81,81 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _spanning(mask: np.ndarray) -> np.ndarray:
-    """For each row the first row it is connected with by a symmetric relation."""
-    root = np.full(len(mask), -1)
-    for first in range(len(mask)):
-        if root[first] >= 0:
-            continue
-        reached = np.zeros(len(mask), dtype=bool)
-        front = np.array([first])
-        reached[first] = True
-        while len(front):
-            new = mask[front].any(axis=0) & ~reached
-            reached |= new
-            front = np.flatnonzero(new)
-        root[reached] = first
-    return root
-
-
-def _compare(group: pd.DataFrame, tables: Tables, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links found in one pair of blocks of a bucket: (links per row, row it is connected with)."""
-    unit = np.stack(group["unit"].to_numpy())
-    table, first, second = (int(group[c].iloc[0]) for c in ("table", "first", "second"))
-    side = group["block"].to_numpy()
-    near = unit @ unit.T >= cosine
-    np.fill_diagonal(near, False)
-    if first != second:
-        near &= side[:, None] != side[None, :]
-    rows = np.flatnonzero(near.any(axis=1))
-    links, joined = np.zeros(len(group), dtype=np.int64), np.arange(len(group))
-    if len(rows):
-        near = near[np.ix_(rows, rows)]
-        buckets = tables.buckets(unit[rows])
+def _runs(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of whole parts, given by the ends of the parts: up to ``RUN_ROWS`` rows, or one larger part."""
+    low = 0
+    while low < ends[-1]:
+        at = max(np.searchsorted(ends, low + RUN_ROWS, side="right") - 1, np.searchsorted(ends, low, side="right"))
+        yield low, int(ends[at])
+        low = int(ends[at])
+
+
+def _near_pairs(unit: np.ndarray, part: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the same part, the first before the second, with at least this cosine."""
+    for low in range(0, len(unit), STRIP_ROWS):
+        cosines = unit[low : low + STRIP_ROWS] @ unit[low:].T
+        a, b = np.nonzero(cosines >= cosine - DOUBT)
+        use = (a < b) & (part[low + a] == part[low + b])
+        a, b = a[use], b[use]
+        # Close to the threshold a product of matrices may round by its shape; a pair is judged by itself there.
+        doubt = np.flatnonzero(cosines[a, b] < cosine + DOUBT)
+        below = np.einsum("ij,ij->i", unit[low + a[doubt]], unit[low + b[doubt]]) < cosine
+        yield np.delete(low + a, doubt[below]), np.delete(low + b, doubt[below])
+
+
+def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Connects the rows of each pair: ``root`` keeps the first row that each row is connected with."""
+    while len(a):
+        a, b = root[a], root[b]
+        a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+        np.minimum.at(root, b, a)
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+def _compare(rows: pa.Table, tables: Tables, cosine: float) -> pa.Table:
+    """(point, links, joined) of the rows that link in some pair of blocks of their bucket.
+
+    ``rows`` holds whole pairs of blocks, sorted here so that each is a part of consecutive rows.  Most
+    buckets hold a few rows, so many parts are compared at once; a larger one is compared in strips.
+    """
+    names = ["table", "bucket", "first", "second"]
+    keys = [rows.column(c).to_numpy() for c in names]
+    order = np.lexsort([rows.column("point").to_numpy(), *keys[::-1]])
+    table, _, first, second = keys = [k[order] for k in keys]
+    point, block, copies = (rows.column(c).to_numpy()[order] for c in ("point", "block", "copies"))
+    unit = _unit(_matrix(rows.column("embedding"), tables.dimension))[order]
+    new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    ends = np.append(np.flatnonzero(new) + 1, len(point))
+    part = np.append(0, np.cumsum(new))
+    links, root = np.zeros(len(point), dtype=np.int64), np.arange(len(point))
+    waiting = []
+
+    def settle() -> None:
+        a, b = (np.concatenate(side) for side in zip(*waiting, strict=True))
+        waiting.clear()
+        _join(root, a, b)
+        hashed, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        buckets = tables.buckets(unit[hashed])
+        at_a, at_b = at[: len(a)], at[len(a) :]
         # A pair counts in the first table in which it meets.
-        fresh = near.copy()
-        for earlier in range(table):
-            fresh &= buckets[:, earlier][:, None] != buckets[:, earlier][None, :]
-        links[rows] = fresh @ group["copies"].to_numpy()[rows]
-        joined[rows] = rows[_spanning(near)]
-    return links, joined
+        for earlier in range(table[a].max(initial=0)):
+            met = (buckets[at_a, earlier] == buckets[at_b, earlier]) & (table[a] > earlier)
+            a, b, at_a, at_b = a[~met], b[~met], at_a[~met], at_b[~met]
+        np.add.at(links, a, copies[b])
+        np.add.at(links, b, copies[a])
+
+    for low, high in _runs(ends):
+        for a, b in _near_pairs(unit[low:high], part[low:high], cosine):
+            a, b = low + a, low + b
+            across = (first[a] == second[a]) | (block[a] != block[b])
+            waiting.append((a[across], b[across]))
+            if sum(len(x) for x, _ in waiting) >= PAIRS_AT_ONCE:
+                settle()
+    if waiting:
+        settle()
+    use = (root != np.arange(len(root))) | (links > 0)
+    return pa.table({"point": point[use], "links": links[use], "joined": point[root[use]]})
 
 
 def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
@@ -120,8 +166,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     ``component_id`` is the smallest vec_id reachable, ``kept`` marks the row that has it.
 
     Equal vectors are one point with a count, so copies are never expanded.  The pairs of a bucket
-    are compared in blocks of ``BLOCK_ROWS``, dealt over tasks; a block passes on a number per point
-    and a spanning tree, never its pairs.  No bucket is capped.
+    are compared in blocks of ``BLOCK_ROWS``, dealt over tasks, and small buckets many at a time; a block
+    passes on a number per point and a spanning tree, never its pairs.  No bucket is capped.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do
     vectors of different lengths with each other.  Null vec_ids count as links, but only make a
@@ -191,17 +237,7 @@ def _links(points: DataFrame, tables: Tables, cosine: float) -> DataFrame:
     shard = F.pmod(F.xxhash64("table", "bucket", "first", "second"), F.lit(shards))
     met = met.join(points.select("point", "embedding", "copies"), "point").withColumn("shard", shard)
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        raw = np.stack(group["embedding"].to_numpy()).astype(np.float64)
-        group = group.assign(unit=list(_unit(raw))).sort_values("point", kind="stable")
-        out = []
-        for _, part in group.groupby(["table", "bucket", "first", "second"], sort=False):
-            links, joined = _compare(part, tables, cosine)
-            names = part["point"].to_numpy()
-            use = joined != np.arange(len(part))
-            use |= links > 0
-            if use.any():
-                out.append(pd.DataFrame({"point": names[use], "links": links[use], "joined": names[joined[use]]}))
-        return pd.concat(out) if out else pd.DataFrame({"point": [], "links": [], "joined": []})
-
-    return write_table(met.groupBy("shard").applyInPandas(compare, "point long, links long, joined long"), "vector-links")
+    def compare(group: pa.Table) -> pa.Table:
+        return _compare(group, tables, cosine)
+
+    return write_table(met.groupBy("shard").applyInArrow(compare, "point long, links long, joined long"), "vector-links")

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,6 +142,51 @@ def test_vectors_equal_brute_force(spark, monkeypatch, block):
     assert near_vectors(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [(128, 256, 1 << 18), (8, 16, 50), (1, 1, 1)])
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_small_buckets_are_compared_many_at_a_time(monkeypatch, sizes, blocks):
+    for name, size in zip(("RUN_ROWS", "STRIP_ROWS", "PAIRS_AT_ONCE"), sizes, strict=True):
+        monkeypatch.setattr(nv, name, size)
+    products = []
+    near_pairs = nv._near_pairs
+    monkeypatch.setattr(nv, "_near_pairs", lambda *a: products.append(1) or near_pairs(*a))
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((800, 32))
+    vectors = np.concatenate([centres, centres[:150] + 0.3 * rng.standard_normal((150, 32)), centres[0] + 0.2 * rng.standard_normal((150, 32))])
+    tables = nv.Tables(32, 5, 6)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    buckets, copies = tables.buckets(unit).view(np.int64), rng.integers(1, 4, len(unit))
+    places = []
+    for point in rng.permutation(len(unit)).tolist():
+        for table in range(5):
+            block = point % blocks
+            for other in range(blocks):
+                key = {"table": table, "bucket": buckets[point, table], "first": min(block, other), "second": max(block, other)}
+                places.append({"point": point, **key, "block": block, "copies": copies[point], "embedding": vectors[point].tolist()})
+    found = nv._compare(pa.Table.from_pylist(places), tables, 0.9).to_pylist()
+    near = (unit @ unit.T >= 0.9) & (buckets[:, None] == buckets[None, :]).any(axis=2)
+    np.fill_diagonal(near, False)
+    links, root = Counter(), np.arange(len(unit))
+    for r in found:
+        links[r["point"]] += r["links"]
+    assert [links[i] for i in range(len(unit))] == (near @ copies).tolist()
+    nv._join(root, *(np.array([r[c] for r in found]) for c in ("point", "joined")))
+    wanted = np.arange(len(unit))
+    nv._join(wanted, *np.nonzero(near))
+    assert root.tolist() == wanted.tolist()
+    if sizes[0] == 128:
+        # Far fewer products of matrices than buckets.
+        assert len(products) < 0.2 * len({(p["table"], p["bucket"], p["first"], p["second"]) for p in places})
+
+
+def test_pairs_join_to_the_first_row_connected():
+    root = np.arange(200)
+    rows = np.random.default_rng(7).permutation(np.arange(1, 99))
+    nv._join(root, rows, rows + 1)
+    nv._join(root, np.array([150, 3, 0]), np.array([120, 120, 0]))
+    assert root.tolist() == [0, *[1] * 99, *range(100, 120), 1, *range(121, 150), 1, *range(151, 200)]
+
+
 def test_turns_hash_is_of_plain_text(spark):
     from shelfrank.llm.queries import QUERIES
 
