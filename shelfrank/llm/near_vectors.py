@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfrank.llm.components import connected_components
 from shelfrank.llm.text import mix64
@@ -75,6 +76,22 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
 
 
+def _packed(points: DataFrame, dimension: int, kind: str) -> DataFrame:
+    """(point, copies, vector) with the components as bytes of numbers of this kind, which must hold them exactly."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = pa.array([v.tobytes() for v in _matrix(batch.column(2), dimension).astype(kind)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], vectors], names=["point", "copies", "vector"])
+
+    return points.select("point", "copies", "embedding").mapInArrow(pack, "point long, copies long, vector binary")
+
+
+def _unpack(column: pa.ChunkedArray, dimension: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).astype(np.float64).reshape(-1, dimension)
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     # Scaled first, so that neither very small nor very large components leave the range of squares.
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
@@ -113,7 +130,7 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = root[root]
 
 
-def _compare(rows: pa.Table, tables: Tables, cosine: float) -> pa.Table:
+def _compare(rows: pa.Table, tables: Tables, cosine: float, kind: str) -> pa.Table:
     """(point, links, joined) of the rows that link in some pair of blocks of their bucket.
 
     ``rows`` holds whole pairs of blocks, sorted here so that each is a part of consecutive rows.  Most
@@ -124,7 +141,7 @@ def _compare(rows: pa.Table, tables: Tables, cosine: float) -> pa.Table:
     order = np.lexsort([rows.column("point").to_numpy(), *keys[::-1]])
     table, _, first, second = keys = [k[order] for k in keys]
     point, block, copies = (rows.column(c).to_numpy()[order] for c in ("point", "block", "copies"))
-    unit = _unit(_matrix(rows.column("embedding"), tables.dimension))[order]
+    unit = _unit(_unpack(rows.column("vector"), tables.dimension, kind))[order]
     new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
     ends = np.append(np.flatnonzero(new) + 1, len(point))
     part = np.append(0, np.cumsum(new))
@@ -174,6 +191,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     component's id if it has no other.  An empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
+    # Vectors go to their buckets in the width they were given in.
+    kind = "<f4" if vectors.schema["embedding"].dataType.elementType == T.FloatType() else "<f8"
     v = F.col("embedding").cast("array<double>")
     usable = (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select("vec_id", v.alias("embedding"), F.coalesce(usable, F.lit(False)).alias("usable"))
@@ -184,7 +203,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     sums, edges = [], []
     for length in lengths.orderBy("n").collect():  # one row per vector length
         tables = Tables.for_rows(length["n"], length["rows"], cosine)
-        found = _links(points.where(F.size("embedding") == length["n"]), tables, cosine)
+        found = _links(points.where(F.size("embedding") == length["n"]), tables, cosine, kind)
         sums.append(found.groupBy("point").agg(F.sum("links").alias("links")))
         edges.append(found.where("point <> joined").select(F.col("point").alias("a"), F.col("joined").alias("b")))
     if not sums:
@@ -210,7 +229,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(points: DataFrame, tables: Tables, cosine: float) -> DataFrame:
+def _links(points: DataFrame, tables: Tables, cosine: float, kind: str) -> DataFrame:
     """(point, links, joined) of every block in which a point links: its new links, and a point it is connected with."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,9 +254,9 @@ def _links(points: DataFrame, tables: Tables, cosine: float) -> DataFrame:
     # Shards hold whole pairs of blocks, several thousand rows in all.
     shards = max(1, -(-met.count() // SHARD_ROWS))
     shard = F.pmod(F.xxhash64("table", "bucket", "first", "second"), F.lit(shards))
-    met = met.join(points.select("point", "embedding", "copies"), "point").withColumn("shard", shard)
+    met = met.join(_packed(points, tables.dimension, kind), "point").withColumn("shard", shard)
 
     def compare(group: pa.Table) -> pa.Table:
-        return _compare(group, tables, cosine)
+        return _compare(group, tables, cosine, kind)
 
     return write_table(met.groupBy("shard").applyInArrow(compare, "point long, links long, joined long"), "vector-links")

@@ -162,8 +162,8 @@ def test_small_buckets_are_compared_many_at_a_time(monkeypatch, sizes, blocks):
             block = point % blocks
             for other in range(blocks):
                 key = {"table": table, "bucket": buckets[point, table], "first": min(block, other), "second": max(block, other)}
-                places.append({"point": point, **key, "block": block, "copies": copies[point], "embedding": vectors[point].tolist()})
-    found = nv._compare(pa.Table.from_pylist(places), tables, 0.9).to_pylist()
+                places.append({"point": point, **key, "block": block, "copies": copies[point], "vector": vectors[point].tobytes()})
+    found = nv._compare(pa.Table.from_pylist(places), tables, 0.9, "<f8").to_pylist()
     near = (unit @ unit.T >= 0.9) & (buckets[:, None] == buckets[None, :]).any(axis=2)
     np.fill_diagonal(near, False)
     links, root = Counter(), np.arange(len(unit))
@@ -179,6 +179,17 @@ def test_small_buckets_are_compared_many_at_a_time(monkeypatch, sizes, blocks):
         assert len(products) < 0.2 * len({(p["table"], p["bucket"], p["first"], p["second"]) for p in places})
 
 
+@pytest.mark.parametrize("width", ["float", "double"])
+def test_vectors_of_either_width_are_compared_whole(spark, width):
+    # The cosine of the first two lies just under the threshold.
+    given = [[1.0, 0.0], [0.9, float(np.sqrt(0.19)) + 1e-9], [0.5, 0.5], [0.5, 0.5000001], [3.0, 3.0]]
+    held = np.array(given, dtype=np.float32 if width == "float" else np.float64).astype(float).tolist()
+    rows = spark.createDataFrame(list(enumerate(given)), f"vec_id long, embedding array<{width}>")
+    found = sorted(near_vectors(rows).collect())
+    links, root = brute(held)
+    assert [(r["n_links"], r["component_id"]) for r in found] == list(zip(links.tolist(), root.tolist(), strict=True))
+
+
 def test_pairs_join_to_the_first_row_connected():
     root = np.arange(200)
     rows = np.random.default_rng(7).permutation(np.arange(1, 99))
