@@ -28,3 +28,8 @@ def _all_right(predicted):
 
 def test_the_forest_learns_from_all_rows(spark):
     assert _all_right(registry.models.forest(_tables(spark, _rare(spark, 9000))))
+
+
+def test_the_tree_whose_rows_are_compared_learns_from_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(registry.models, "_rows_of", lambda predicted: predicted)
+    assert _all_right(registry.models.tree_rows(_tables(spark, _rare(spark, 9000))))
