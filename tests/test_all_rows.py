@@ -1,5 +1,7 @@
 """Registered models are fitted on all rows: what only a few rows say is learned too."""
 
+from pyspark.sql import functions as F
+
 import registry.models
 from registry.core import Tables
 from shelfrank.operators.variants import BASE_FEATURES
@@ -33,3 +35,18 @@ def test_the_forest_learns_from_all_rows(spark):
 def test_the_tree_whose_rows_are_compared_learns_from_all_rows(spark, monkeypatch):
     monkeypatch.setattr(registry.models, "_rows_of", lambda predicted: predicted)
     assert _all_right(registry.models.tree_rows(_tables(spark, _rare(spark, 9000))))
+
+
+def test_the_kernel_machine_passes_over_all_rows(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    study = _rare(spark, 5000)
+    read = study.withColumn("current_price", counted.asNondeterministic()("current_price"))
+    predicted = registry.models.kernel(_tables(spark, read))
+    assert seen.value > 5 * 5000 and seen.value % 5000 == 0
+    assert predicted.count() == 40
