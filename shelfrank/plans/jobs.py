@@ -62,7 +62,7 @@ def comparison_job(
     variants = comparison_variants(table, tables)
     study = run_study(variants, models or comparison_models(fit_rows))
     ran = _ran(variants, study)
-    importances = study_importances(ran, trees, rows=train_rows, fit_rows=fit_rows)
+    importances = study_importances(ran, trees, rows=train_rows)
     runs = study.results.withColumnRenamed("model_name", "model")
     columns = ("dataset", "dataset_name", "model", "accuracy", "n_features", "features")
     write_csv(runs.orderBy("seq").select(*columns[:-1], F.to_json("features").alias("features")), f"{folder}/clustering_comparison_results")
@@ -90,7 +90,7 @@ def extended_job(
     variants = extended_variants(table, tables)
     study = run_study(variants, models or extended_models(fit_rows), cross_validate=True)
     ran = _ran(variants, study)
-    importances = study_importances(ran, trees, fit_rows=fit_rows)
+    importances = study_importances(ran, trees)
     detailed = study.results.withColumnRenamed("dataset_name", "dataset_description").orderBy("seq")
     columns = ("model_name", "accuracy", "cv_mean", "cv_std", "dataset", "dataset_description", "n_features")
     write_csv(detailed.select(*columns), f"{folder}/detailed_comparison_results")

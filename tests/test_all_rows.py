@@ -1,10 +1,12 @@
 """Registered models are fitted on all rows: what only a few rows say is learned too."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import registry.models
 from registry.core import Tables
-from shelfrank.operators.variants import BASE_FEATURES
+from shelfrank.operators.variants import BASE_FEATURES, Variant
+from shelfrank.plans.study import study_importances, train_rows
 
 
 def _rare(spark, rows, copies=3):
@@ -50,3 +52,17 @@ def test_the_kernel_machine_passes_over_all_rows(spark):
     predicted = registry.models.kernel(_tables(spark, read))
     assert seen.value > 5 * 5000 and seen.value % 5000 == 0
     assert predicted.count() == 40
+
+
+def _shares(importances):
+    return sorted((r["dataset"], r["feature"], r["importance"]) for r in importances.collect())
+
+
+def test_importances_come_from_all_rows(spark):
+    rng = np.random.default_rng(12)
+    made = [(i, *map(float, rng.normal(size=3).round(1)), int(rng.integers(0, 3)), i % 5 == 0) for i in range(5000)]
+    rows = spark.createDataFrame(made, "row_id long, current_price double, discount double, likes_count double, label int, is_test boolean")
+    t = Tables(spark, "nowhere")
+    t.__dict__["variants"] = [Variant("original", "", BASE_FEATURES, rows.cache())]
+    assert _shares(t.train_importances) == _shares(study_importances(t.variants, trees=50, rows=train_rows))
+    assert _shares(t.overall_importances) == _shares(study_importances(t.variants, trees=100))
