@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.core import FIT_ROWS, Tables, query, rounded
+from registry.core import Tables, query, rounded
 from registry.sql import bayes_ctes, bayes_cv_ctes, split_ctes, with_tables
 from shelfrank.operators.models import naive_bayes
 from shelfrank.operators.variants import BASE_FEATURES, DISPLAY_NAMES, FLAG_FEATURE, LABEL_COLUMNS
@@ -50,7 +50,7 @@ def _comparison_sql() -> str:
 @query("i14_comparison_job", _comparison_sql())
 def comparison(t):
     base, labels, out = _files(t)
-    comparison_job(t.spark, base, labels, out, models=[naive_bayes()], trees=5, fit_rows=FIT_ROWS)
+    comparison_job(t.spark, base, labels, out, models=[naive_bayes()], trees=5)
     return rounded(scan_csv(t.spark, f"{out}/clustering_comparison_results").drop("features"), "accuracy")
 
 
@@ -70,6 +70,6 @@ def _extended_sql() -> str:
 @query("i14_extended_job", _extended_sql())
 def extended(t):
     base, labels, out = _files(t)
-    extended_job(t.spark, base, labels, out, models=[naive_bayes()], trees=5, fit_rows=FIT_ROWS)
+    extended_job(t.spark, base, labels, out, models=[naive_bayes()], trees=5)
     found = scan_csv(t.spark, f"{out}/detailed_comparison_results").drop("dataset_description")
     return rounded(found, "accuracy", "cv_mean", "cv_std")

@@ -50,7 +50,6 @@ def comparison_job(
     folder: str,
     models: Sequence[Classifier] | None = None,
     trees: int = 50,
-    fit_rows: int | None = None,
 ) -> StudyJob:
     """Three models on the original features and one variant per label file of the base's length.
 
@@ -60,7 +59,7 @@ def comparison_job(
     """
     table, tables = load_study(spark, base, labels)
     variants = comparison_variants(table, tables)
-    study = run_study(variants, models or comparison_models(fit_rows))
+    study = run_study(variants, models or comparison_models())
     ran = _ran(variants, study)
     importances = study_importances(ran, trees, rows=train_rows)
     runs = study.results.withColumnRenamed("model_name", "model")
@@ -78,7 +77,6 @@ def extended_job(
     folder: str,
     models: Sequence[Classifier] | None = None,
     trees: int = 100,
-    fit_rows: int | None = None,
 ) -> StudyJob:
     """Five cross-validated models; shorter label files are attached as far as they reach, newness is a feature.
 
@@ -88,7 +86,7 @@ def extended_job(
     """
     table, tables = load_study(spark, base, labels)
     variants = extended_variants(table, tables)
-    study = run_study(variants, models or extended_models(fit_rows), cross_validate=True)
+    study = run_study(variants, models or extended_models(), cross_validate=True)
     ran = _ran(variants, study)
     importances = study_importances(ran, trees)
     detailed = study.results.withColumnRenamed("dataset_name", "dataset_description").orderBy("seq")

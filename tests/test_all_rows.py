@@ -3,9 +3,10 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+import registry.jobs
 import registry.models
 from registry.core import Tables
-from shelfrank.operators.variants import BASE_FEATURES, Variant
+from shelfrank.operators.variants import BASE_FEATURES, LABEL_COLUMNS, Variant
 from shelfrank.plans.study import study_importances, train_rows
 
 
@@ -66,3 +67,18 @@ def test_importances_come_from_all_rows(spark):
     t.__dict__["variants"] = [Variant("original", "", BASE_FEATURES, rows.cache())]
     assert _shares(t.train_importances) == _shares(study_importances(t.variants, trees=50, rows=train_rows))
     assert _shares(t.overall_importances) == _shares(study_importances(t.variants, trees=100))
+
+
+def test_the_study_job_fits_its_importances_on_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    made = [(i, "abc"[rng.integers(0, 3)], *map(float, rng.normal(size=3).round(1)), i % 2 == 0) for i in range(3000)]
+    kinds = "row_id long, category string, current_price double, discount double, likes_count double, is_new boolean"
+    t = Tables(spark, "nowhere")
+    t.__dict__["normalised"] = spark.createDataFrame(made, kinds).cache()
+    t.__dict__["labels"] = {
+        m: t.normalised.select("row_id", (F.col("row_id") % k).cast("int").alias(LABEL_COLUMNS[m])) for m, k in (("kmeans", 4), ("hierarchical", 3))
+    }
+    jobs, run = [], registry.jobs.extended_job
+    monkeypatch.setattr(registry.jobs, "extended_job", lambda *a, **b: jobs.append(run(*a, **b)))
+    registry.jobs.extended(t)
+    assert _shares(jobs[0].importances) == _shares(study_importances(jobs[0].variants, trees=5))
