@@ -82,3 +82,11 @@ def test_the_study_job_fits_its_importances_on_all_rows(spark, monkeypatch):
     monkeypatch.setattr(registry.jobs, "extended_job", lambda *a, **b: jobs.append(run(*a, **b)))
     registry.jobs.extended(t)
     assert _shares(jobs[0].importances) == _shares(study_importances(jobs[0].variants, trees=5))
+
+
+def test_the_forest_of_the_comparison_learns_from_all_rows(spark):
+    t = _tables(spark, _rare(spark, 9000))
+    t.__dict__["variants"] = [Variant("original", "", BASE_FEATURES, t.study)]
+    assert _all_right(registry.models.predictions(t).where("model_name = 'Random Forest'"))
+    figures = {r["model_name"]: r["accuracy"] for r in registry.models.grid(t).collect()}
+    assert len(figures) == 3 and figures["Random Forest"] == 1.0
