@@ -12,10 +12,10 @@ from shelfrank.plans.study import study_importances, train_rows
 
 def _rare(spark, rows, copies=3):
     """Odd values have their own class, on ``copies`` rows each; all others are even and have the other one. Test rows ask for the odd ones."""
-    rare = [(float(v), 1) for v in range(1, 40, 2) for _ in range(copies)]
-    common = [(float(i % 20 * 2), 0) for i in range(rows - len(rare))]
-    made = [(i, x, c, i % 5, False) for i, (x, c) in enumerate(common + rare)]
-    made += [(rows + i, float(v), v % 2, None, True) for i, v in enumerate(range(40))]
+    rare = [(float(v), 1, c) for v in range(1, 16, 2) for c in range(copies)]
+    common = [(float(i % 8 * 2), 0, i // 8 % 5) for i in range(rows - len(rare))]
+    made = [(i, x, label, fold, False) for i, (x, label, fold) in enumerate(common + rare)]
+    made += [(rows + v, float(v), v % 2, None, True) for v in range(16)]
     table = spark.createDataFrame(made, "row_id long, x double, label int, fold int, is_test boolean").repartition(4)
     return table.selectExpr("row_id", "label", "fold", "is_test", *[f"x AS {f}" for f in BASE_FEATURES]).cache()
 
@@ -28,7 +28,7 @@ def _tables(spark, study):
 
 def _all_right(predicted):
     rows = predicted.collect()
-    return len(rows) == 40 and all(r["prediction"] == r["label"] for r in rows)
+    return len(rows) == 16 and all(r["prediction"] == r["label"] for r in rows)
 
 
 def test_the_forest_learns_from_all_rows(spark):
@@ -51,8 +51,8 @@ def test_the_kernel_machine_passes_over_all_rows(spark):
     study = _rare(spark, 5000)
     read = study.withColumn("current_price", counted.asNondeterministic()("current_price"))
     predicted = registry.models.kernel(_tables(spark, read))
-    assert seen.value > 5 * 5000 and seen.value % 5000 == 0
-    assert predicted.count() == 40
+    assert seen.value >= 20 * 5000
+    assert predicted.count() == 16
 
 
 def _shares(importances):
@@ -97,7 +97,7 @@ def test_the_models_of_the_extended_grid_learn_from_all_rows(spark):
     t.__dict__["variants"] = [Variant("original", "", BASE_FEATURES, t.study)]
     figures = {r["model_name"]: (r["accuracy"], r["cv_mean"]) for r in registry.models.extended_grid(t).collect()}
     assert len(figures) == 5
-    # The few rows of a class are two or three in a fold, so that every left-out one can be told from the others.
+    # The rows of a rare value lie in three folds, so each is known to the models of its own.
     assert figures["Decision Tree"] == figures["Random Forest"] == (1.0, 1.0)
     ranges = {r["model_name"]: r for r in registry.models.extended_ranges(t).collect()}
-    assert all((r["n_test"], r["n_crossed"], r["each_row_once"], r["known_classes"]) == (40, 2000, True, True) for r in ranges.values())
+    assert all((r["n_test"], r["n_crossed"], r["each_row_once"], r["known_classes"]) == (16, 2000, True, True) for r in ranges.values())
